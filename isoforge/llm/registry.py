@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from isoforge.llm import exact_dedup, lang_id, packing, source_mixing, suffix_repeats, token_counts, toxicity
+from isoforge.llm import exact_dedup, lang_id, license_scan, packing, source_mixing, suffix_repeats, token_counts, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_suffix_repeats": suffix_repeats.op1_suffix_repeats,
         "op2_lang_id": lang_id.op2_lang_id,
+        "op3_license_scan": license_scan.op3_license_scan,
         "op4_packing": packing.op4_packing,
         "op6_token_counts": token_counts.op6_token_counts,
         "op7_source_mixing": source_mixing.op7_source_mixing,
