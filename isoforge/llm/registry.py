@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from isoforge.llm import exact_dedup, lang_id, license_scan, packing, source_mixing, suffix_repeats, token_counts, toxicity
+from isoforge.llm import exact_dedup, lang_id, license_scan, packing, source_mixing, substring_dedup, suffix_repeats, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_packing": packing.op4_packing,
         "op6_token_counts": token_counts.op6_token_counts,
         "op7_source_mixing": source_mixing.op7_source_mixing,
+        "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_toxicity": toxicity.op10_toxicity,
     }
