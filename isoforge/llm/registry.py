@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from isoforge.llm import exact_dedup, lang_id, license_scan, packing, source_mixing, substring_dedup, suffix_repeats, token_counts, toxicity
+from isoforge.llm import exact_dedup, jaccard_join, lang_id, license_scan, packing, source_mixing, substring_dedup, suffix_repeats, token_counts, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_lang_id": lang_id.op2_lang_id,
         "op3_license_scan": license_scan.op3_license_scan,
         "op4_packing": packing.op4_packing,
+        "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_token_counts": token_counts.op6_token_counts,
         "op7_source_mixing": source_mixing.op7_source_mixing,
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
