@@ -57,20 +57,20 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, list[bytes | None], pa.RecordBatch]]:
+def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES, id_col: str = "__id", text_col: str = "__text") -> Iterator[tuple[pa.Array, list[bytes | None], pa.RecordBatch]]:
     """(ids, texts as UTF-8 or None, the rows) of about size bytes of text each."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        column = batch.column(batch.schema.get_field_index("__text"))
+        column = batch.column(batch.schema.get_field_index(text_col))
         texts = column.cast(pa.large_binary()).to_pylist()
         begin, held = 0, 0
         for i, t in enumerate(texts):
             held += len(t or b"") + 64
             if held >= size or i == n - 1:
                 part = batch.slice(begin, i + 1 - begin)
-                yield part.column(part.schema.get_field_index("__id")), texts[begin : i + 1], part
+                yield part.column(part.schema.get_field_index(id_col)), texts[begin : i + 1], part
                 begin, held = i + 1, 0
 
 

@@ -53,6 +53,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("__id").alias(id_col), "keep_id", "group_size", (F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__nth") == 1)).alias("kept"), F.col("__s").alias("text_sha256"))
 
 
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
+    """The rows of docs that stay, all columns."""
+    sha = F.sha2(lower_ascii(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"), 256)
+    stay = exact_dedup(docs, id_col, text_col, keep).where("kept").select(F.col(id_col).alias("__i"), F.col("text_sha256").alias("__s"))
+    rows = docs.withColumn("__s2", sha)
+    kept = rows.join(stay, rows[id_col].eqNullSafe(stay["__i"]) & (rows["__s2"] == stay["__s"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__s2"]).select(*docs.columns)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 

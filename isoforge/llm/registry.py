@@ -5,8 +5,15 @@ from __future__ import annotations
 from isoforge.llm import exact_dedup, jaccard_join, lang_id, license_scan, packing, source_mixing, substring_dedup, suffix_repeats, token_counts, toxicity
 
 
+def pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
+        "pipeline": pipeline,
         "op1_suffix_repeats": suffix_repeats.op1_suffix_repeats,
         "op2_lang_id": lang_id.op2_lang_id,
         "op3_license_scan": license_scan.op3_license_scan,

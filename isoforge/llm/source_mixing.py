@@ -26,7 +26,7 @@ from isoforge.llm.common import materialise, table
 MAX_BROADCAST_CELLS = 100_000
 SWEEPS = 8
 CAP_ROUNDS = 4
-KEEP_FRACTION = 0.6
+KEEP_FRACTION = 0.75
 #: Targets are shares raised to this power: 0 evens all values out, 1 leaves shares as they are.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 1.0}
 #: Bytes of UTF-8 to a token, by which tokens are estimated.

@@ -22,16 +22,18 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isoforge.llm.common import bucket4, id_text, map_chunks, table
+from isoforge.llm.common import bucket4, chunks, id_text, map_chunks, table
 
 TRAIN_DOCS = 3000
 #: Of the learning rows, the part whose only use is calibration.
@@ -194,6 +196,16 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return map_chunks(id_text(docs, id_col, text_col), work, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())], id_col)
 
 
+def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, whose score is below threshold; scored where they are read, without a join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts, rows in chunks(batches, id_col=text_col, text_col=text_col):
+            yield rows.filter(pa.array(score_texts(texts, model) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from labels of rows whose crc32(doc_id) mod 4 isn't 2."""
     docs = table(spark, sf_dir, "documents")
