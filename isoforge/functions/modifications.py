@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from isoforge.functions.binding import bind
 from isoforge.functions.residues import map_position, residue_at
 
 # Feature types, failure codes, and the wording by which kinds are told apart, in order.
@@ -83,24 +84,29 @@ def judged_sites(features: Column, canonical: Column, isoform: Column, edits: Co
     same: is the row the canonical entry itself? Then positions aren't mapped. code: null if the site is mapped.
     """
 
-    def judge(f: Column) -> Column:
+    def judge(f: Column, known_edits: Column) -> Column:
         own = residue_at(canonical, f["start"])
-        mapped = F.when(same, F.struct(f["start"].alias("pos"), F.lit(None).cast("string").alias("code"))).otherwise(map_position(edits, f["start"]))
-        there = residue_at(isoform, mapped["pos"])
-        code = F.when(own.isNull(), F.lit(CANONICAL_OOB)).when(mapped["code"].isNotNull(), mapped["code"]).when(there.isNull(), F.lit(ISOFORM_OOB)).when(there != own, F.lit(RESIDUE_MISMATCH))
-        return F.struct(f["start"].alias("start"), mapped["pos"].alias("pos"), own.alias("aa"), code.alias("code"), modification_code(f["type"], f["description"]).alias("mod_type"), f["confidence"].alias("confidence"))
+        mapped = F.when(same, F.struct(f["start"].alias("pos"), F.lit(None).cast("string").alias("code"))).otherwise(map_position(known_edits, f["start"]))
 
-    return F.transform(F.filter(features, is_point_modification), judge)
+        def fate(m: Column) -> Column:
+            there = residue_at(isoform, m["pos"])
+            code = F.when(own.isNull(), F.lit(CANONICAL_OOB)).when(m["code"].isNotNull(), m["code"]).when(there.isNull(), F.lit(ISOFORM_OOB)).when(there != own, F.lit(RESIDUE_MISMATCH))
+            return F.struct(f["start"].alias("start"), m["pos"].alias("pos"), own.alias("aa"), code.alias("code"), modification_code(f["type"], f["description"]).alias("mod_type"), f["confidence"].alias("confidence"))
+
+        return bind(mapped, fate)
+
+    return bind(edits, lambda e: F.transform(F.filter(features, is_point_modification), lambda f: judge(f, e)))
 
 
 def sites_of(judged: Column) -> Column:
     """Mapped modifications nested by site: array<struct<site_index, site_aa, modifications>>, sites ascending."""
-    good = F.filter(judged, lambda j: j["code"].isNull())
-    places = F.array_sort(F.array_distinct(F.transform(good, lambda j: j["pos"])))
 
-    def site(p: Column) -> Column:
-        here = F.filter(good, lambda j: j["pos"] == p)
+    def nest(good: Column) -> Column:
+        places = F.array_sort(F.array_distinct(F.transform(good, lambda j: j["pos"])))
+        return F.transform(places, lambda p: bind(F.filter(good, lambda j: j["pos"] == p), lambda here: site(p, here)))
+
+    def site(p: Column, here: Column) -> Column:
         mods = F.transform(here, lambda j: F.struct(j["mod_type"].alias("mod_type"), j["confidence"].alias("confidence_score")))
-        return F.struct(p.alias("site_index"), F.try_element_at(here, F.lit(1))["aa"].alias("site_aa"), mods.alias("modifications"))
+        return F.struct(p.alias("site_index"), F.get(here, F.lit(0))["aa"].alias("site_aa"), mods.alias("modifications"))
 
-    return F.transform(places, site)
+    return bind(F.filter(judged, lambda j: j["code"].isNull()), nest)

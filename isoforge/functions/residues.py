@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from isoforge.functions.binding import bind
+
 UNRESOLVABLE, DELETED, OUT_OF_BOUNDS = "VSP_UNRESOLVABLE", "VSP_DELETION_EVENT", "MAPPER_OOB"
 #: Types of features that describe another sequence.
 SPLICE_VARIANT, VARIANT_SEQUENCE = "splice variant", "variant sequence"
@@ -31,12 +33,17 @@ def is_missing(variation: Column, description: Column) -> Column:
 
 def edit_of(feature: Column) -> Column:
     """The edit that a feature (type, description, start, end, ord, variation) describes, or null if its length isn't known."""
-    new = residue_length(F.coalesce(feature["variation"], F.lit("")))
-    gone = ((feature["type"] == SPLICE_VARIANT) & (new <= 0)) | is_missing(feature["variation"], feature["description"])
-    old = feature["end"] - feature["start"] + 1
-    delta = F.when(gone, F.lit(0)).otherwise(new) - old
-    edit = F.struct(feature["start"].alias("b"), feature["end"].alias("e"), feature["ord"].cast("int").alias("ord"), delta.cast("int").alias("d"), gone.alias("gone"))
-    return F.when(gone | (new > 0), edit)
+
+    def of(new: Column) -> Column:
+        gone = ((feature["type"] == SPLICE_VARIANT) & (new <= 0)) | is_missing(feature["variation"], feature["description"])
+        return bind(gone, lambda g: edit(new, g))
+
+    def edit(new: Column, gone: Column) -> Column:
+        delta = F.when(gone, F.lit(0)).otherwise(new) - (feature["end"] - feature["start"] + 1)
+        made = F.struct(feature["start"].alias("b"), feature["end"].alias("e"), feature["ord"].cast("int").alias("ord"), delta.cast("int").alias("d"), gone.alias("gone"))
+        return F.when(gone | (new > 0), made)
+
+    return bind(residue_length(F.coalesce(feature["variation"], F.lit(""))), of)
 
 
 def edits_of(features: Column, variant_ids: Column) -> Column:
@@ -77,10 +84,13 @@ def map_position(edits: Column, position: Column) -> Column:
 def map_range(edits: Column, canonical: Column, isoform: Column, start: Column, end: Column) -> Column:
     """struct(start, end) of a mapped range, or null if it isn't whole inside both sequences."""
     inside = (start > 0) & (end > 0) & (end >= start) & (F.length(canonical) > 0) & (end <= F.length(canonical)) & (F.length(isoform) > 0)
-    a, b = map_position(edits, start), map_position(edits, end)
     n = F.length(isoform)
-    fits = a["pos"].isNotNull() & b["pos"].isNotNull() & (a["pos"] > 0) & (b["pos"] > 0) & (a["pos"] <= n) & (b["pos"] <= n) & (b["pos"] >= a["pos"])
-    return F.when(F.coalesce(inside & fits, F.lit(False)), F.struct(a["pos"].alias("start"), b["pos"].alias("end")))
+
+    def fit(a: Column, b: Column) -> Column:
+        return F.when((a > 0) & (b >= a) & (b <= n), F.struct(a.alias("start"), b.alias("end")))
+
+    mapped = bind(map_position(edits, start)["pos"], lambda a: bind(F.when(end == start, a).otherwise(map_position(edits, end)["pos"]), lambda b: fit(a, b)))
+    return F.when(F.coalesce(inside, F.lit(False)), mapped)
 
 
 def edit_count(edits: Column) -> Column:

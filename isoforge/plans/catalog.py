@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from isoforge.functions.binding import bind
 from isoforge.functions.evidence import codes_of, confidence_of, joined_codes
 from isoforge.functions.modifications import amino_acid, judged_sites, modification_code, modification_kind, sites_of
 from isoforge.functions.residues import edit_count, edits_of, is_missing, map_position, map_range, residue_at, residue_length, total_delta
@@ -157,15 +158,15 @@ def site_evidence(spark, sf_dir):
 
 
 def coord_map_point(spark, sf_dir):
-    rows = entry_rows(spark, sf_dir).select("row_key", F.explode(F.transform("items", lambda i: F.struct(i["ord"].alias("ord"), i["place"].alias("pos"), map_position(F.col("edits"), i["place"]).alias("m")))).alias("x"))
+    rows = entry_rows(spark, sf_dir).select("row_key", F.explode(bind(F.col("edits"), lambda e: F.transform("items", lambda i: F.struct(i["ord"].alias("ord"), i["place"].alias("pos"), map_position(e, i["place"]).alias("m"))))).alias("x"))
     return rows.select("row_key", "x.ord", "x.pos", F.coalesce("x.m.pos", F.lit(-1)).alias("mapped"), "x.m.code")
 
 
 def coord_map_range(spark, sf_dir):
-    def one(i: Column) -> Column:
-        return F.struct(i["ord"].alias("ord"), map_range(F.col("edits"), F.lit(CANONICAL), F.lit(ISOFORM), i["place"], i["place"] + (i["ord"] % 5)).alias("r"))
+    def one(i: Column, edits: Column) -> Column:
+        return F.struct(i["ord"].alias("ord"), map_range(edits, F.lit(CANONICAL), F.lit(ISOFORM), i["place"], i["place"] + (i["ord"] % 5)).alias("r"))
 
-    return entry_rows(spark, sf_dir).select("row_key", F.explode(F.transform("items", one)).alias("x")).select("row_key", "x.ord", F.coalesce("x.r.start", F.lit(-1)).alias("start"), F.coalesce("x.r.end", F.lit(-1)).alias("end"))
+    return entry_rows(spark, sf_dir).select("row_key", F.explode(bind(F.col("edits"), lambda e: F.transform("items", lambda i: one(i, e)))).alias("x")).select("row_key", "x.ord", F.coalesce("x.r.start", F.lit(-1)).alias("start"), F.coalesce("x.r.end", F.lit(-1)).alias("end"))
 
 
 def edit_totals(spark, sf_dir):
