@@ -1,6 +1,7 @@
 """Token counts with overlap resynchronisation for huge documents.
 
-Texts up to CHUNK_CHARS characters are encoded whole. A longer one is encoded in chunks that overlap by
+Texts up to CHUNK_CHARS characters are cut at ASCII white space, every run of which is a stable boundary
+(below), and a word's count is the library's, remembered while the table holds. A longer one is encoded in chunks that overlap by
 OVERLAP_CHARS, with offsets. A chunk's end may cut a token, so two neighbouring chunks are spliced where
 they are known to agree: at a stable boundary, which is a run of white space between two pre-tokens of the
 overlap where both chunks have tokens with the same offsets on both sides of it. The tokenizer drops white
@@ -29,7 +30,8 @@ from isoforge.llm.common import id_text, map_chunks, table
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
 LIMIT = 2048
-BATCH_CHARS = 300_000
+#: Words whose counts a Python worker remembers.
+REMEMBERED = 500_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -94,24 +96,29 @@ def count_long(t, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CH
         end = stop
 
 
+@lru_cache(4)
+def remembered(path: str) -> dict[bytes, int]:
+    return {}
+
+
 def count_tokens(texts: list[bytes | None], path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> np.ndarray:
-    t = tokenizer(path)
-    strings = [(x or b"").decode("utf-8", "replace") for x in texts]
-    out = np.zeros(len(strings), np.int64)
-    batch, held = [], 0
-    for i, s in enumerate(strings):
-        if len(s) > chunk:
+    t, known = tokenizer(path), remembered(path)
+    out = np.zeros(len(texts), np.int64)
+    short: list[tuple[int, list[bytes]]] = []
+    for i, x in enumerate(texts):
+        if not x:
+            continue
+        if len(x) > chunk and len(s := x.decode("utf-8", "replace")) > chunk:
             out[i] = count_long(t, s, chunk, overlap)
-        elif s:
-            batch.append(i)
-            held += len(s)
-        if batch and (held >= BATCH_CHARS or i == len(strings) - 1):
-            for k, e in zip(batch, t.encode_batch_fast([strings[k] for k in batch], add_special_tokens=False), strict=True):
-                out[k] = len(e)
-            batch, held = [], 0
-    if batch:
-        for k, e in zip(batch, t.encode_batch_fast([strings[k] for k in batch], add_special_tokens=False), strict=True):
-            out[k] = len(e)
+        else:
+            short.append((i, x.split()))
+    if len(known) > REMEMBERED:
+        known.clear()
+    new = list({w for _, words in short for w in words if w not in known})
+    for w, e in zip(new, t.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
+        known[w] = len(e)
+    for i, words in short:
+        out[i] = sum(map(known.__getitem__, words))
     return out
 
 
