@@ -3,7 +3,8 @@
 A group is first all rows of one 128-bit hash; grouping by (hash, bytes) then compares the bytes, so
 that two texts that share a hash are still two groups. Spark combines equal texts in each map task
 before the shuffle, so a text that a third of all rows repeat is shuffled once for each task.
-Rows find their group again by (hash, SHA-256), which carries no text. Should two different texts
+Rows find their group again by (hash, SHA-256), which carries no text; large groups are broadcast (a
+bounded number) and their rows stay spread. Should two different texts
 ever share both, the query stops with an error rather than merge them.
 
 Defined results: a null text counts as empty; empty texts are equal to each other; no row is dropped
@@ -16,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoforge.llm.common import table
+from isoforge.llm.common import materialise, table
+from isoforge.llm.skew import join_groups
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,7 +49,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one = one.withColumn("group_size", F.when(F.col("__n") > 1, F.raise_error(F.lit("two texts share both hashes")).cast("long")).otherwise(F.col("group_size"))).drop("__n")
 
     light = rows.select("__id", "__h", sha.alias("__s")).groupBy("__id", "__h", "__s").agg(F.count(F.lit(1)).alias("__copies"))
-    joined = light.join(one, ["__h", "__s"])
+    joined = join_groups(light, materialise(one, "groups"), ["__h", "__s"], "group_size")
     nth = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__nth")
     out = joined.select("*", nth)
     return out.select(F.col("__id").alias(id_col), "keep_id", "group_size", (F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__nth") == 1)).alias("kept"), F.col("__s").alias("text_sha256"))
