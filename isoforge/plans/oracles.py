@@ -44,7 +44,7 @@ def oracle_sql() -> dict[str, str]:
         "taxa_split": "SELECT * FROM (SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN 9606 WHEN 1 THEN 10090 WHEN 2 THEN 10116 WHEN 4 THEN 9544 END AS organism_id, CASE c_nationkey % 5 WHEN 0 THEN 'human' WHEN 1 THEN 'mouse' WHEN 2 THEN 'rat' END AS species FROM customer) WHERE species IS NOT NULL",
         "evidence_breakdown": f"WITH {OGROUPS} SELECT evidence, n, round(n * 100.0 / sum(n) OVER (), 6)::DOUBLE AS percent FROM g ORDER BY n DESC, evidence",
         "evidence_buckets": f"WITH {OGROUPS} SELECT coalesce(sum(n), 0)::BIGINT AS total, coalesce(sum(n) FILTER (WHERE {EXPERIMENTAL.format('evidence')}), 0)::BIGINT AS experimental, coalesce(sum(n) FILTER (WHERE evidence = 'Unknown'), 0)::BIGINT AS unknown, coalesce(sum(n) FILTER (WHERE evidence <> 'Unknown' AND NOT {EXPERIMENTAL.format('evidence')}), 0)::BIGINT AS non_experimental FROM g",
-        "ptm_spectrum": f"WITH {SPECTRUM}, placed AS (SELECT *, experimental / total AS r, row_number() OVER (ORDER BY experimental / total DESC, mod_type)::INT AS place, count(*) OVER () AS groups FROM stats) SELECT mod_type, total, experimental, non_experimental, unknown, round(r, 6) AS ratio, place, part FROM (SELECT *, 'top' AS part FROM placed WHERE place <= 10 UNION ALL SELECT *, 'bottom' AS part FROM placed WHERE place > groups - 10) ORDER BY part DESC, place",
+        "ptm_spectrum": f"WITH {SPECTRUM}, placed AS (SELECT *, experimental / total AS r, row_number() OVER (ORDER BY experimental / total DESC, mod_type)::INT AS place, count(*) OVER () AS groups FROM stats) SELECT mod_type, total, experimental, non_experimental, unknown, round(r, 6) AS ratio, place, part FROM (SELECT *, 'top' AS part FROM placed WHERE place <= 10 UNION ALL SELECT * REPLACE ((place - greatest(0, groups - 10))::INT AS place), 'bottom' AS part FROM placed WHERE place > groups - 10) ORDER BY part DESC, place",
         "spectrum_totals": f"WITH {SPECTRUM} SELECT count(*) AS kinds, coalesce(sum(total), 0)::BIGINT AS total, coalesce(sum(experimental), 0)::BIGINT AS experimental, round(sum(experimental) * 100.0 / sum(total), 6)::DOUBLE AS percent FROM stats",
         "mod_sites": f"WITH {SITES} SELECT * FROM site",
         "presence": f"WITH {SITES}, e AS (SELECT row_key, bool_or(kind = 'phospho') AS p, bool_or(kind = 'oglcnac') AS o FROM site GROUP BY 1) SELECT count(*) FILTER (WHERE p AND o) AS both, count(*) FILTER (WHERE p AND NOT o) AS phospho_only, count(*) FILTER (WHERE o AND NOT p) AS oglcnac_only FROM e",
