@@ -11,7 +11,8 @@ in it, so equal windows have equal minimisers; neighbouring windows that share o
    passage that a third of all rows repeat is one string for each map task.
 4. A bucket numbers the windows of its strings exactly, by sorting word sequences of doubling length, and
    gives each window the smallest document it starts in. Strings of one minimiser stay together; a bucket
-   is worked through in runs of RUN_WORDS words, with memory linear in them.
+   is worked through in runs of RUN_WORDS words, with memory linear in them. A minimiser of over MAX_GROUP
+   super-k-mers (edited copies of one passage) is split: its windows travel one by one, as 128-bit digests.
 5. A text loses each word that lies in a window which also starts in a document with a smaller id.
 
 Words are compared as words (hashes only choose buckets); strings find their rows again by a 128-bit
@@ -39,6 +40,7 @@ from isoforge.llm.common import WordHashes, chunks, materialise, mix, table, wor
 WINDOW = 50
 GRAM = 8
 RUN_WORDS = 1_000_000
+MAX_GROUP = 50_000
 LAST = 2**63 - 1
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,7 +86,7 @@ def super_kmers(docs: list[list[bytes]], known: WordHashes, window: int, gram: i
 
 
 KMERS = T.StructType([T.StructField("__d", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("mini", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())])
-PACKED = T.StructType([T.StructField("__d", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("mini", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("key", T.BinaryType()), T.StructField("packed", T.BinaryType())])
+PACKED = T.StructType([T.StructField("__d", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("mini", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("key", T.BinaryType()), T.StructField("packed", T.BinaryType()), T.StructField("windows", T.ArrayType(T.BinaryType()))])
 RUNS = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("runs", T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("doc", T.LongType())])))])
 
 
@@ -99,8 +101,12 @@ def find_kmers(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.mapInArrow(run, KMERS)
 
 
+def digest(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
+
+
 def pack_kmers(rows: DataFrame, window: int) -> DataFrame:
-    """rows: __id, __k, __text, found (mini, start, n)."""
+    """rows: __id, __k, __text, found (mini, start, n, split). A super-k-mer that isn't split has key and packed, else windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts, part in chunks(batches):
@@ -109,12 +115,16 @@ def pack_kmers(rows: DataFrame, window: int) -> DataFrame:
             out: list[tuple] = []
             for d, kk, t, own in zip(ids.to_pylist(), k, texts, found, strict=True):
                 words = (t or b"").split()
-                for mini, start, n in {(f["mini"], f["start"], f["n"]) for f in own}:
-                    s = b" ".join(words[start : start + n + window - 1])
-                    out.append((d, kk, mini, start, hashlib.blake2b(s, digest_size=16).digest(), s))
+                for mini, start, n, split in {(f["mini"], f["start"], f["n"], f["split"]) for f in own}:
+                    if split:
+                        out.append((d, kk, mini, start, None, None, [digest(b" ".join(words[i : i + window])) for i in range(start, start + n)]))
+                    else:
+                        s = b" ".join(words[start : start + n + window - 1])
+                        out.append((d, kk, mini, start, digest(s), s, None))
             if out:
                 c = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.binary()), pa.array(c[5], pa.binary())], names=PACKED.names)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(c, kinds, strict=True)], names=PACKED.names)
 
     return rows.mapInArrow(run, PACKED)
 
@@ -212,22 +222,28 @@ def strip_texts(rows: DataFrame, id_col: str, with_text: bool) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = True, max_group: int = MAX_GROUP) -> DataFrame:
     """A row for each row of docs: id, n_words, n_removed, kept_sha256 and kept_text (kept words joined by a space)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("__id"), F.xxhash64(text).alias("__k"), text.alias("__text"))
     kmers = materialise(find_kmers(rows, window, gram), "superkmers")
-    shared = kmers.groupBy("mini").agg(F.min("__d").alias("lo"), F.max("__d").alias("hi")).where("lo <> hi").select("mini")
-    found = kmers.join(shared, "mini", "left_semi").groupBy("__d", "__k").agg(F.collect_list(F.struct("mini", "start", "n")).alias("found"))
+    shared = kmers.groupBy("mini").agg(F.min("__d").alias("lo"), F.max("__d").alias("hi"), F.count(F.lit(1)).alias("of")).where("lo <> hi").select("mini", (F.col("of") > max_group).alias("split"))
+    found = kmers.join(shared, "mini").groupBy("__d", "__k").agg(F.collect_list(F.struct("mini", "start", "n", "split")).alias("found"))
     found = found.select(F.col("__d").alias("__id"), "__k", "found")
 
     packed = pack_kmers(rows.join(found, ["__id", "__k"]), window)
-    strings = packed.groupBy("mini", "key", "packed").agg(F.min("__d").alias("doc"))
+    strings = packed.where("packed is not null").groupBy("mini", "key", "packed").agg(F.min("__d").alias("doc"))
     runs = judge_buckets(strings.repartition("mini").sortWithinPartitions("mini"), window)
     later = F.filter("runs", lambda r: r["doc"] < F.col("__d"))
-    hits = packed.select("__d", "__k", "start", "key").join(runs, "key").select("__d", "__k", "start", later.alias("later")).where(F.size("later") > 0)
+    hits = packed.where("packed is not null").select("__d", "__k", "start", "key").join(runs, "key").select("__d", "__k", "start", later.alias("later")).where(F.size("later") > 0)
     spans = F.transform("later", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + F.lit(window - 1)).alias("b")))
-    gone = hits.groupBy("__d", "__k").agg(F.collect_list(spans).alias("gone"))
+    gone = hits.select("__d", "__k", spans.alias("spans"))
+    if kmers.groupBy("mini").count().where(F.col("count") > max_group).limit(1).count():
+        single = packed.where("windows is not null").select("__d", "__k", "start", F.posexplode("windows").alias("at", "window"))
+        first = single.groupBy("window").agg(F.min("__d").alias("doc"))
+        late = single.join(first, "window").where("doc < __d").withColumn("a", F.col("start") + F.col("at"))
+        gone = gone.unionByName(late.select("__d", "__k", F.array(F.struct("a", (F.col("a") + F.lit(window)).alias("b"))).alias("spans")))
+    gone = gone.groupBy("__d", "__k").agg(F.collect_list("spans").alias("gone"))
     gone = gone.select(F.col("__d").alias("__id"), "__k", "gone")
     return strip_texts(rows.join(gone, ["__id", "__k"], "left"), id_col, with_text)
 
