@@ -66,11 +66,12 @@ def test_substrings(spark, sf_dir, small):
     assert any(r[2] for r in got)
 
 
-def test_substrings_random(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [50_000, 3, 0])
+def test_substrings_random(spark, limit):
     rng = random.Random(2)
     docs = [(rng.randrange(40), "".join(rng.choice(["a ", "b ", "c\n", "d\t"]) for _ in range(rng.randrange(0, 60)))) for _ in range(60)]
     docs += [(5, None), (6, ""), *docs[:8]]
-    got = substring_dedup.substring_dedup(frame(spark, docs), window=6, gram=3).collect()
+    got = substring_dedup.substring_dedup(frame(spark, docs), window=6, gram=3, max_group=limit).collect()
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == substrings(docs, 6)
 
 
@@ -275,3 +276,35 @@ def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.queries() if n.startswith("op"))
     assert numbers == list(range(1, 11))
     assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_odd_tables(spark, odd, nothing, number):
+    import corpus_pipeline
+
+    name, stage = corpus_pipeline.STAGES[number]
+    sf = "/root/testdata/sf0.001"
+    got = stage(spark, odd, sf)
+    rows = got.collect()
+    ids = {r.doc_id for r in rows}
+    if number < 4:
+        assert got.columns == odd.columns
+    if name == "toxicity":
+        assert len(rows) == len(ODD)  # nothing here is toxic
+    if name == "exact_dedup":
+        assert sorted(r.doc_id for r in rows) == [3, 2, 5, 6, 7, 8] or sorted(r.doc_id for r in rows) == [2, 3, 5, 6, 7, 8]
+    if name == "jaccard_join":
+        assert ids == {1, 2, 3, 4, 6, 7, 8}
+    if name == "packing":
+        assert ids == {d for d, _ in ODD}
+    assert stage(spark, nothing, sf).count() == 0
+
+
+def test_groups_join_spreads_hot_keys(spark):
+    from isoforge.llm.skew import join_groups
+
+    rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"))
+    got = {r.id: (r.size, r.least) for r in join_groups(rows, groups, ["k"], "size").collect()}
+    assert got == {i: (1000, 0) if i % 3 == 0 else (1, i) for i in range(3000)}
+    assert join_groups(rows.limit(0), groups.limit(0), ["k"], "size").count() == 0
