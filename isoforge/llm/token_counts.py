@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from isoforge.llm.common import id_text, map_chunks, table
 
-CHUNK_CHARS = 16_384
+CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 LIMIT = 2048
 #: Words whose counts a Python worker remembers.
@@ -51,49 +51,49 @@ def tokenizer(path: str):
     return t
 
 
-def stable_boundary(text: str, low: int, high: int, left: list[tuple[int, int]], right: list[tuple[int, int]]) -> tuple[int, int] | None:
+Offsets = list[tuple[int, int]]
+
+
+def stable_boundary(text: str, low: int, high: int, left: Offsets, left_at: int, right: Offsets, right_at: int) -> tuple[int, int] | None:
     """(tokens kept of left, tokens dropped of right) at the last boundary in text[low:high] that both agree on.
 
-    left, right: offsets in the whole text. Agreement: a token of both ends at the same place, the next of
-    both starts at the same later place, and only white space lies between.
+    left, right: offsets in chunks that begin at left_at and right_at. Agreement: a token of both ends at the
+    same place, the next of both starts at the same later place, and only white space lies between.
     """
     ends = {}
-    for k, (_, e) in enumerate(right[:-1]):
-        ends[e] = k
+    for k, (s, e) in enumerate(right[:-1]):
+        if s + right_at > high:
+            break
+        ends[e + right_at] = k
     for k in range(len(left) - 2, -1, -1):
-        e, s = left[k][1], left[k + 1][0]
+        e, s = left[k][1] + left_at, left[k + 1][0] + left_at
         if e < low:
             return None
-        if e < s and s < high and (j := ends.get(e)) is not None and right[j + 1][0] == s and text[e:s].isspace():
+        if e < s and s < high and (j := ends.get(e)) is not None and right[j + 1][0] + right_at == s and text[e:s].isspace():
             return k + 1, j + 1
     return None
 
 
 def count_long(t, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
     """Tokens of a text longer than a chunk."""
-    begin, kept, offsets = 0, 0, None  # offsets: of the tokens not yet counted
-    end = 0
-    while True:
-        if offsets is None:
-            end = min(len(text), chunk)
-            offsets = t.encode(text[:end], add_special_tokens=False).offsets
-        if end >= len(text):
-            return kept + len(offsets)
-        width = overlap
+    end = min(len(text), chunk)
+    begin, skip, kept = 0, 0, 0  # skip: of the chunk's tokens, those that the chunk before counts
+    left = t.encode(text[:end], add_special_tokens=False).offsets
+    while end < len(text):
+        width, stop = overlap, min(len(text), end + chunk)
         while True:
-            begin = max(0, end - width)
-            stop = min(len(text), end + chunk)
-            right = [(a + begin, b + begin) for a, b in t.encode(text[begin:stop], add_special_tokens=False).offsets]
+            at = max(0, end - width)
+            if not at:  # widened to the beginning: the text has no such boundary here
+                return len(t.encode(text, add_special_tokens=False))
+            right = t.encode(text[at:stop], add_special_tokens=False).offsets
             # the first pre-token of the new chunk and the last of the old one may be cut: look between them only
-            found = stable_boundary(text, begin + 1, end, offsets, right) if begin else None
-            if found:
-                kept += found[0]
-                offsets = right[found[1] :]
+            found = stable_boundary(text, at + 1, end, left, begin, right, at)
+            if found and found[0] > skip:
                 break
-            if not begin:  # widened to the beginning: the text has no such boundary here
-                return len(t.encode(text, add_special_tokens=False))
             width *= 2
-        end = stop
+        kept += found[0] - skip
+        left, begin, skip, end = right, at, found[1], stop
+    return kept + len(left) - skip
 
 
 @lru_cache(4)
