@@ -4,8 +4,8 @@ Each map task cuts its documents into pieces and packs them best-fit, largest fi
 CAPACITY tokens. Bins that are nearly full (SLACK tokens free or fewer) are done. The underfull ones
 become items: FAN neighbouring tasks' bins are packed best-fit into each other, done bins leave, and the
 next round merges FAN groups, as a tree, up to the root. Only (bin, fill) travels, never text or tokens.
-A group hands at most MAX_GROUP bins on to the next round, the emptiest, so the memory of one task is
-bounded whatever the input; the others stay as they are.
+A task and a group hand at most MAX_GROUP / FAN bins on to the next round, the emptiest, so no group has over
+MAX_GROUP bins whatever the input; the others stay as they are.
 
 A document over CAPACITY tokens is cut so that its first piece is the remainder and all others are full;
 full pieces are bins of their own. Within a task documents are held as numbers only, in runs of LOCAL.
@@ -103,11 +103,19 @@ def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, n
     return bins, offsets, np.array(fills, np.int64)
 
 
-PIECES = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("bin", T.LongType()), ("at", T.LongType()), ("fill", T.LongType())]
+PIECES = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("bin", T.LongType()), ("at", T.LongType()), ("fill", T.LongType()), ("open", T.BooleanType())]
 
 
-def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end: int) -> DataFrame:
-    """All pieces, packed within their task. bin: the task's number and the bin's number there."""
+def emptiest(fills: np.ndarray, limit: int, most: int) -> np.ndarray:
+    """Which bins are handed on: those under limit, the emptiest ones up to most."""
+    out = np.zeros(len(fills), bool)
+    under = np.flatnonzero(fills < limit)
+    out[under[np.argsort(fills[under], kind="stable")[:most]]] = True
+    return out
+
+
+def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end: int, slack: int, most: int) -> DataFrame:
+    """All pieces, packed within their task. bin: the task's number and the bin's number there; open: is it handed on?"""
     rows = id_text(docs, id_col, text_col)
     schema = T.StructType([T.StructField("__id", rows.schema["__id"].dataType), *(T.StructField(n, t) for n, t in PIECES)])
 
@@ -115,14 +123,16 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
         task = TaskContext.get().partitionId() << 40
         ids: list[pa.Array] = []
         found: list[tuple] = []
-        made = 0
+        made, left = 0, most
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal made
+            nonlocal made, left
             cols = [np.array(c, np.int64) for c in zip(*found, strict=True)]
             owner = pa.concat_arrays(ids).take(pa.array(cols[0]))
             bins, at, fills = best_fit(cols[3], capacity)
-            values = [owner, pa.array(cols[1], pa.int32()), *(pa.array(c) for c in cols[2:]), pa.array(bins + task + made), pa.array(at), pa.array(fills[bins])]
+            on = emptiest(fills, capacity - slack, left)
+            left -= int(on.sum())
+            values = [owner, pa.array(cols[1], pa.int32()), *(pa.array(c) for c in cols[2:]), pa.array(bins + task + made), pa.array(at), pa.array(fills[bins]), pa.array(on[bins])]
             made += len(fills)
             yield from pa.Table.from_arrays(values, names=schema.names).to_batches(50_000)
             ids.clear(), found.clear()
@@ -147,22 +157,20 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
     return rows.mapInArrow(run, schema)
 
 
-def merge_round(rooted: DataFrame, capacity: int, slack: int, fan: int) -> DataFrame:
-    """Packs the bins of fan groups into each other. rooted: first (the map task's bin), bin, base (offset there), fill, grp."""
+def merge_round(rooted: DataFrame, capacity: int, slack: int, fan: int, most: int) -> DataFrame:
+    """Packs the bins of fan groups into each other. rooted: first (the map task's bin), bin, base (offset there), fill, open, grp."""
     names = rooted.columns
 
     def merge(rows: pa.Table) -> pa.Table:
         c = {n: rows.column(n).to_numpy() for n in names}
         which, first, inverse = np.unique(c["bin"], return_index=True, return_inverse=True)
         fill = c["fill"][first]
-        most_empty = np.argsort(fill, kind="stable")[:MAX_GROUP]
-        into, at, fills = best_fit(fill[most_empty], capacity)
+        into, at, fills = best_fit(fill, capacity)
         # a bin is named after the first one packed into it
         name = np.empty(len(fills), np.int64)
-        name[into[at == 0]] = which[most_empty[at == 0]]
-        new, base, full = which.copy(), np.zeros(len(which), np.int64), fill.copy()
-        new[most_empty], base[most_empty], full[most_empty] = name[into], at, fills[into]
-        return pa.table({"first": c["first"], "bin": new[inverse], "base": c["base"] + base[inverse], "fill": full[inverse], "grp": c["grp"]})
+        name[into[at == 0]] = which[at == 0]
+        on = emptiest(fills, capacity - slack, most)
+        return pa.table({"first": c["first"], "bin": name[into][inverse], "base": c["base"] + at[inverse], "fill": fills[into][inverse], "open": on[into][inverse], "grp": c["grp"]})
 
     grouped = rooted.withColumn("grp", F.expr(f"grp div {fan}"))
     return grouped.groupBy("grp").applyInArrow(merge, grouped.schema)
@@ -170,17 +178,18 @@ def merge_round(rooted: DataFrame, capacity: int, slack: int, fan: int) -> DataF
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, slack: int = SLACK, fan: int = FAN) -> DataFrame:
     """A row for each piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    packed = materialise(pieces(docs, path, id_col, text_col, capacity, end), "pieces")
-    rooted = packed.where((F.col("at") == 0) & (F.col("fill") < capacity - slack)).select(F.col("bin").alias("first"), "bin", F.lit(0).cast("long").alias("base"), "fill", F.shiftright("bin", 40).alias("grp"))
+    most = MAX_GROUP // fan
+    packed = materialise(pieces(docs, path, id_col, text_col, capacity, end, slack, most), "pieces")
+    rooted = packed.where((F.col("at") == 0) & F.col("open")).select(F.col("bin").alias("first"), "bin", F.lit(0).cast("long").alias("base"), "fill", "open", F.shiftright("bin", 40).alias("grp"))
     groups = (packed.agg(F.max(F.shiftright("bin", 40))).first()[0] or 0) + 1
     done: list[DataFrame] = []
     while True:
-        rooted = materialise(merge_round(rooted, capacity, slack, fan), "bins")
+        rooted = materialise(merge_round(rooted, capacity, slack, fan, most), "bins")
         groups = -(-groups // fan)
         if groups <= 1:
             break
-        done.append(rooted.where(F.col("fill") >= capacity - slack))
-        rooted = rooted.where(F.col("fill") < capacity - slack)
+        done.append(rooted.where(~F.col("open")))
+        rooted = rooted.where("open")
     for d in done:
         rooted = rooted.unionByName(d)
     moved = rooted.select(F.col("first").alias("bin"), F.col("bin").alias("to"), "base")
