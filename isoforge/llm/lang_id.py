@@ -115,7 +115,7 @@ class Parser:
         if pieces:
             size = np.array([len(p) for p in pieces])
             order = np.argsort(-size, kind="stable")
-            grid = np.zeros((int(size.max()), len(pieces)), np.int64)
+            grid = np.zeros((int(size.max()), len(pieces)), np.uint16)
             for k, i in enumerate(order):
                 grid[: size[i], k] = pieces[i]
             live = np.searchsorted(-size[order], -np.arange(1, grid.shape[0] + 1), side="right")
