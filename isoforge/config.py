@@ -18,7 +18,7 @@ VERSION = "1.0"
 class Storage:
     input_path: str | None = None
     fasta_sidecar_path: str | None = None
-    output_path: str = "data/parquet/uniprot.parquet"
+    output_path: str = "data/parquet/entries.parquet"
     temp_dir: str = "data/tmp"
 
 
