@@ -7,8 +7,8 @@ in it, so equal windows have equal minimisers; neighbouring windows that share o
 2. Minimisers that occur in a single document are dropped: no window there has another copy. Spark takes
    the least and largest document of each minimiser, combining within map tasks first.
 3. The other super-k-mers travel as packed strings (their words, joined by a space) to the bucket of their
-   minimiser; equal strings are combined before the shuffle, with their smallest document, so that a
-   passage that a third of all rows repeat is one string for each map task.
+   minimiser. Of equal strings a map task sends one, with its smallest document, so that a passage that
+   a third of all rows repeat is a string or a few for each task; the bucket combines what is left.
 4. A bucket numbers the windows of its strings exactly, by sorting word sequences of doubling length, and
    gives each window the smallest document it starts in. Strings of one minimiser stay together; a bucket
    is worked through in runs of RUN_WORDS words, with memory linear in them. A minimiser of over MAX_GROUP
@@ -41,6 +41,8 @@ WINDOW = 50
 GRAM = 8
 RUN_WORDS = 1_000_000
 MAX_GROUP = 50_000
+#: Strings that a map task remembers to have sent.
+SENT = 500_000
 LAST = 2**63 - 1
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,9 +108,13 @@ def digest(text: bytes) -> bytes:
 
 
 def pack_kmers(rows: DataFrame, window: int) -> DataFrame:
-    """rows: __id, __k, __text, found (mini, start, n, split). A super-k-mer that isn't split has key and packed, else windows."""
+    """rows: __id, __k, __text, found (mini, start, n, split). A super-k-mer that isn't split has key, else windows.
+
+    packed is there unless the task has sent it already for a document with as small an id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[bytes, int] = {}
         for ids, texts, part in chunks(batches):
             k = part.column(part.schema.get_field_index("__k")).to_pylist()
             found = part.column(part.schema.get_field_index("found")).to_pylist()
@@ -120,7 +126,12 @@ def pack_kmers(rows: DataFrame, window: int) -> DataFrame:
                         out.append((d, kk, mini, start, None, None, [digest(b" ".join(words[i : i + window])) for i in range(start, start + n)]))
                     else:
                         s = b" ".join(words[start : start + n + window - 1])
-                        out.append((d, kk, mini, start, digest(s), s, None))
+                        key = digest(s)
+                        if fresh := d < sent.get(key, LAST + 1):
+                            if len(sent) >= SENT:
+                                sent.clear()
+                            sent[key] = d
+                        out.append((d, kk, mini, start, key, s if fresh else None, None))
             if out:
                 c = list(zip(*out, strict=True))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.binary()))
@@ -228,17 +239,19 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("__id"), F.xxhash64(text).alias("__k"), text.alias("__text"))
     kmers = materialise(find_kmers(rows, window, gram), "superkmers")
     shared = kmers.groupBy("mini").agg(F.min("__d").alias("lo"), F.max("__d").alias("hi"), F.count(F.lit(1)).alias("of")).where("lo <> hi").select("mini", (F.col("of") > max_group).alias("split"))
+    shared = materialise(shared, "shared")
     found = kmers.join(shared, "mini").groupBy("__d", "__k").agg(F.collect_list(F.struct("mini", "start", "n", "split")).alias("found"))
     found = found.select(F.col("__d").alias("__id"), "__k", "found")
 
     packed = pack_kmers(rows.join(found, ["__id", "__k"]), window)
-    strings = packed.where("packed is not null").groupBy("mini", "key", "packed").agg(F.min("__d").alias("doc"))
-    runs = judge_buckets(strings.repartition("mini").sortWithinPartitions("mini"), window)
+    # one shuffle, by minimiser, serves the grouping of equal strings, too
+    strings = packed.where("packed is not null").select("mini", "key", "packed", "__d").repartition("mini").groupBy("mini", "key", "packed").agg(F.min("__d").alias("doc"))
+    runs = judge_buckets(strings.sortWithinPartitions("mini"), window)
     later = F.filter("runs", lambda r: r["doc"] < F.col("__d"))
-    hits = packed.where("packed is not null").select("__d", "__k", "start", "key").join(runs, "key").select("__d", "__k", "start", later.alias("later")).where(F.size("later") > 0)
+    hits = packed.where("key is not null").select("__d", "__k", "start", "key").join(runs, "key").select("__d", "__k", "start", later.alias("later")).where(F.size("later") > 0)
     spans = F.transform("later", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + F.lit(window - 1)).alias("b")))
     gone = hits.select("__d", "__k", spans.alias("spans"))
-    if kmers.groupBy("mini").count().where(F.col("count") > max_group).limit(1).count():
+    if not shared.where("split").isEmpty():
         single = packed.where("windows is not null").select("__d", "__k", "start", F.posexplode("windows").alias("at", "window"))
         first = single.groupBy("window").agg(F.min("__d").alias("doc"))
         late = single.join(first, "window").where("doc < __d").withColumn("a", F.col("start") + F.col("at"))
