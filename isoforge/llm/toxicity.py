@@ -8,8 +8,8 @@ bytes that the toxic dictionary saves are the window's evidence. Shares of windo
 the largest and the mean saving go through a logistic curve, calibrated on labelled documents that the
 dictionaries were not trained on.
 
-Learning takes at most TRAIN_DOCS rows of each label, those with the smallest hash of the id among rows
-that may be learned from; this is the only bound, and every text is scored whole. The model (the two
+Learning takes at most TRAIN_DOCS rows of each label and TRAIN_BYTES of their texts, whole texts, those with the
+smallest hash of the id among rows that may be learned from; this is the only bound, and every text is scored whole. The model (the two
 dictionaries, some hundred KB at most, and ten numbers) goes to the tasks with the function.
 
 Defined results: null and empty texts have no window and get the curve's value at no evidence, as any
@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from isoforge.llm.common import bucket4, chunks, id_text, map_chunks, table
 
 TRAIN_DOCS = 3000
+TRAIN_BYTES = 24_000_000
 #: Of the learning rows, the part whose only use is calibration.
 CALIBRATE = 0.35
 WINDOW = 10
@@ -172,10 +173,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = rows.groupBy(F.col(id_col).alias("__i")).agg((F.max(label_col) > 0).cast("int").alias("__y"))
     shares = {r["__y"]: r["count"] for r in rows.groupBy("__y").count().collect()}
     order = F.row_number().over(Window.partitionBy("__y").orderBy(F.xxhash64("__i"), "__i"))
-    chosen = rows.withColumn("__n", order).where(F.col("__n") <= train_docs).select("__i", "__y")
+    chosen = rows.withColumn("__n", order).where(F.col("__n") <= train_docs).select("__i", "__y", "__n")
     # at most twice train_docs rows
-    texts = docs.select(F.col(id_col).alias("__i"), F.col(text_col).cast("string").alias("__t")).where("__t is not null").join(F.broadcast(chosen), "__i")
-    got = texts.select(F.xxhash64(F.col("__i"), F.lit(7)).alias("__k"), "__i", "__t", "__y").collect()
+    texts = docs.select(F.col(id_col).alias("__i"), F.col(text_col).cast("string").alias("__t")).where("__t is not null")
+    sized = texts.join(F.broadcast(chosen), "__i").select("__i", "__y", "__n", F.xxhash64("__t").alias("__h"), F.octet_length("__t").alias("__b"))
+    running = F.sum("__b").over(Window.partitionBy("__y").orderBy("__n", "__h", "__b"))
+    fits = sized.withColumn("__r", running).where(F.col("__r") <= TRAIN_BYTES).select("__i", "__y").distinct()
+    got = texts.join(F.broadcast(fits), "__i").select(F.xxhash64(F.col("__i"), F.lit(7)).alias("__k"), "__i", "__t", "__y").collect()
     return fit([(r["__t"].encode(), r["__y"]) for r in sorted(got, key=lambda r: (r["__k"], str(r["__i"]), r["__t"]))], shares.get(1, 0) / max(1, sum(shares.values())))
 
 
