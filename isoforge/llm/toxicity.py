@@ -3,14 +3,14 @@
 Two zstandard dictionaries are trained on labelled text. The ordinary one is trained on windows of ordinary
 documents. The toxic one holds the same content followed by what marks toxic text: beginnings of words
 (UNIT bytes) that toxic documents have significantly more often than ordinary ones (G test), strongest
-last, where matches are cheapest. Every window of WINDOW words of a text is compressed with both; the
-bytes that the toxic dictionary saves are the window's evidence. Shares of windows that save 1 to 6 bytes,
-the largest and the mean saving go through a logistic curve, calibrated on labelled documents that the
-dictionaries were not trained on.
+last, where matches are cheapest. A text is cut into windows of each of WINDOWS words, and every window is
+compressed with both; the bytes that the toxic dictionary saves are the window's evidence. Shares and
+numbers of windows that save 2 to 6 bytes, the largest saving and the text's length go through a logistic
+curve, calibrated on labelled documents that the dictionaries were not trained on.
 
 Learning takes at most TRAIN_DOCS rows of each label and TRAIN_BYTES of their texts, whole texts, those with the
 smallest hash of the id among rows that may be learned from; this is the only bound, and every text is scored whole. The model (the two
-dictionaries, some hundred KB at most, and ten numbers) goes to the tasks with the function.
+dictionaries, some hundred KB at most, and some twenty numbers) goes to the tasks with the function.
 
 Defined results: null and empty texts have no window and get the curve's value at no evidence, as any
 clean text; a label that is null isn't learned from, of repeated labels of an id the largest counts;
@@ -39,7 +39,7 @@ TRAIN_DOCS = 3000
 TRAIN_BYTES = 24_000_000
 #: Of the learning rows, the part whose only use is calibration.
 CALIBRATE = 0.35
-WINDOW = 10
+WINDOWS = (10, 6)
 UNIT = range(4, 13)
 LEAST_G = 35.0
 LEAST_PURITY = 0.8
@@ -47,7 +47,7 @@ MAX_UNITS = 2000
 DICT_BYTES = 131_072
 THRESHOLD = 0.3
 PUNCTUATION = re.compile(rb"[!-/:-@\[-`{-~]+")
-STEPS = (1, 2, 3, 4, 5, 6)
+STEPS = (2, 3, 4, 5, 6)
 
 
 @dataclass(frozen=True)
@@ -57,7 +57,7 @@ class Model:
     weights: tuple[float, ...]  # the last is the constant; empty: nothing to learn from
 
 
-def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
+def windows(text: bytes, size: int = WINDOWS[0]) -> list[bytes]:
     words = PUNCTUATION.sub(b" ", text.lower()).split()
     return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, len(words), size)]
 
@@ -114,15 +114,20 @@ def compressors(ordinary: bytes, toxic: bytes) -> tuple:
 
 
 def features(texts: list[bytes], ordinary: bytes, toxic: bytes) -> np.ndarray:
+    """A row for each text; a text without words has evidence nowhere."""
     by_ordinary, by_toxic = (c.compress for c in compressors(ordinary, toxic))
-    out = np.zeros((len(texts), len(STEPS) + 3))
-    for i, t in enumerate(texts):
-        parts = windows(t)
-        if parts:
-            saved = np.array([len(by_ordinary(x)) - len(by_toxic(x)) for x in parts])
-            out[i, : len(STEPS)] = [(saved >= s).mean() for s in STEPS]
-            out[i, len(STEPS) :] = min(saved.max(), 8) / 8, np.clip(saved, 0, 8).mean() / 2, np.log1p((saved >= 4).sum()) / 3
-    return out
+    steps = np.array(STEPS)
+    rows = []
+    for t in texts:
+        row: list[float] = []
+        for size in WINDOWS:
+            parts = windows(t, size)
+            saved = np.array([len(by_ordinary(x)) - len(by_toxic(x)) for x in parts] or [0])
+            n = max(1, len(parts))
+            hits = (saved[:, None] >= steps).sum(0)
+            row += [*(3 * hits / n), *np.log1p(hits), min(saved.max(), 8) / 8, np.log(n) / 5, np.log1p(hits[1]) - np.log1p(n / 20)]
+        rows.append(row)
+    return np.array(rows)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40) -> np.ndarray:
