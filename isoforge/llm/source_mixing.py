@@ -66,19 +66,35 @@ def rake(cells: DataFrame, dims: dict[str, float], keep_fraction: float = KEEP_F
     return df.select(*cells.columns, F.least(F.lit(1.0), F.col("__w") * F.col("__scale")).alias("keep_probability"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic=topic_of, temper: dict[str, float] = TEMPER, keep_fraction: float = KEEP_FRACTION, sweeps: int = SWEEPS, carry: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each row of docs: id, source, lang, topic, tokens, keep_probability, sampled, and the columns named in carry."""
+DIMS = ["source", "lang", "topic"]
+
+
+def calibrated(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, topic, temper: dict[str, float], keep_fraction: float, sweeps: int, carry: tuple[str, ...]) -> DataFrame:
+    """__id, source, lang, topic, tokens, keep_probability, sampled, and the columns of carry as __c0, __c1, ..."""
     text = F.col(text_col).cast("string")
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NONE))
-    keep = [F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)]
-    rows = docs.select(F.col(id_col).alias("__id"), named(source_col).alias("source"), named(lang_col).alias("lang"), F.coalesce(topic(text), F.lit(NONE)).alias("topic"), F.ceil(F.coalesce(F.octet_length(text), F.lit(0)) / TOKEN_BYTES).cast("long").alias("tokens"), *keep)
-    dims = ["source", "lang", "topic"]
-    cells = materialise(rows.groupBy(*dims).agg(F.sum("tokens").alias("tokens")), "cells")
+    tokens = F.ceil(F.coalesce(F.octet_length(text), F.lit(0)) / TOKEN_BYTES).cast("long")
+    rows = docs.select(
+        F.col(id_col).alias("__id"), named(source_col).alias("source"), named(lang_col).alias("lang"), F.coalesce(topic(text), F.lit(NONE)).alias("topic"), tokens.alias("tokens"),
+        *(F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)),
+    )
+    cells = materialise(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
+    fitted = materialise(rake(cells, {d: temper[d] for d in DIMS}, keep_fraction, sweeps).select(*DIMS, "keep_probability"), "raked")
     few = cells.count() <= MAX_BROADCAST_CELLS
-    fitted = materialise(rake(cells, {d: temper[d] for d in dims}, keep_fraction, sweeps).select(*dims, "keep_probability"), "raked")
-    out = rows.join(F.broadcast(fitted) if few else fitted, dims)
-    back = [F.col(f"__c{i}").alias(c) for i, c in enumerate(carry)]
-    return out.select(F.col("__id").alias(id_col), *dims, "tokens", "keep_probability", (uniform(F.col("__id")) < F.col("keep_probability")).alias("sampled")) if not carry else out.where(uniform(F.col("__id")) < F.col("keep_probability")).select(*back)
+    out = rows.join(F.broadcast(fitted) if few else fitted, DIMS)
+    return out.withColumn("sampled", uniform(F.col("__id")) < F.col("keep_probability"))
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic=topic_of, temper: dict[str, float] = TEMPER, keep_fraction: float = KEEP_FRACTION, sweeps: int = SWEEPS) -> DataFrame:
+    """A row for each row of docs: id, source, lang, topic, tokens, keep_probability, sampled. topic: Column -> Column."""
+    out = calibrated(docs, id_col, text_col, source_col, lang_col, topic, temper, keep_fraction, sweeps, ())
+    return out.select(F.col("__id").alias(id_col), *DIMS, "tokens", "keep_probability", "sampled")
+
+
+def sample_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic=topic_of, temper: dict[str, float] = TEMPER, keep_fraction: float = KEEP_FRACTION, sweeps: int = SWEEPS) -> DataFrame:
+    """The sampled rows of docs, all columns."""
+    out = calibrated(docs, id_col, text_col, source_col, lang_col, topic, temper, keep_fraction, sweeps, tuple(docs.columns))
+    return out.where("sampled").select(*(F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

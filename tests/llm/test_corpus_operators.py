@@ -237,7 +237,7 @@ def test_mixing_odd(odd, nothing):
     assert len(got) == len(ODD) and all(0 <= r.keep_probability <= 1 for r in got)
     assert {r.source for r in got} == {source_mixing.NONE} and next(r for r in got if r.doc_id == 1).tokens == 0
     assert source_mixing.mix_sources(nothing).count() == 0
-    back = source_mixing.mix_sources(odd, carry=tuple(odd.columns))
+    back = source_mixing.sample_documents(odd)
     assert back.columns == odd.columns and back.count() == sum(r.sampled for r in got)
 
 
