@@ -28,4 +28,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_source_mixing": source_mixing.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
+    return {
+        "op5_jaccard_join": jaccard_join.ORACLE,
+        "op7_source_mixing": source_mixing.ORACLE,
+        "op8_substring_dedup": substring_dedup.ORACLE,
+        "op9_exact_dedup": exact_dedup.ORACLE,
+    }

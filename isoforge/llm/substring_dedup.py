@@ -263,3 +263,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  starts AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 48, 1))) AS i FROM w),
+  win AS (SELECT doc_id, i, array_to_string(ws[i : i + 49], ' ') AS k FROM starts),
+  least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN least USING (k) WHERE m < doc_id),
+  each AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+  kept AS (SELECT e.doc_id, count(g.p) AS n_removed, string_agg(x, ' ' ORDER BY e.p) FILTER (WHERE g.p IS NULL) AS t FROM each e LEFT JOIN gone g USING (doc_id, p) GROUP BY e.doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
