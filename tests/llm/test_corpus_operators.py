@@ -209,15 +209,15 @@ def test_best_fit():
 # 7: mixing
 
 
-def test_mixing_matches_sql(spark, sf_dir):
-    df = registry.queries()["op7_source_mixing"](spark, sf_dir)
+@pytest.mark.parametrize("name", list(registry.oracle_sql()))
+def test_query_matches_sql(spark, sf_dir, name):
+    df = registry.queries()[name](spark, sf_dir)
     c = duckdb.connect()
     c.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
-    said = c.sql(registry.oracle_sql()["op7_source_mixing"])
-    got = sorted(tuple(r[x] for x in sorted(df.columns)) for r in df.collect())
+    said = c.sql(registry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(said.columns)
     order = [said.columns.index(x) for x in sorted(said.columns)]
-    assert got == sorted(tuple(r[i] for i in order) for r in said.fetchall())
+    assert sorted(tuple(r[x] for x in sorted(df.columns)) for r in df.collect()) == sorted(tuple(r[i] for i in order) for r in said.fetchall())
 
 
 def test_raking_meets_targets(spark):
