@@ -2,10 +2,13 @@
 
 A text is normalised (A-Z lower-cased, words are runs of letters and digits, or of bytes beyond ASCII) and compared in
 units: every line, every paragraph (lines between blank ones), every run of neighbouring lines that are
-mostly template wording, and the whole text. With a unit of a bigrams and a template of b, Dice is
-2 * common / (a + b), bigrams counted as often as they occur. Dice >= t bounds b to a*t/(2-t) .. a*(2-t)/t,
-so only templates of such sizes are compared; and a unit needs t/(2-t) of its bigrams in the wording of
-all templates at all, which prefix sums give for all units of a chunk at once.
+mostly template wording, the whole text, and of all windows of neighbouring lines the best (lines without words
+neither end nor dilute one, so a licence of several paragraphs is found inside other content). With a unit of
+a bigrams and a template of b, Dice is 2 * common / (a + b), bigrams counted as often as they occur. Dice >= t
+bounds b to a*t/(2-t) .. a*(2-t)/t, so only templates of such sizes are compared; and a unit needs t/(2-t) of its
+bigrams in the wording of all templates at all, which prefix sums give for all units of a chunk at once. Windows are
+compared from each first line that may begin one; of windows that overlap and name the same licence the one of the
+highest Dice stays (then the longest).
 
 Defined results: null or empty texts and units of fewer than two words match nothing; of equal Dice the
 template that comes first in order of names wins; matches inside a longer match of the same licence
@@ -60,6 +63,10 @@ class Scanner:
         for _, b in self.templates:
             for x, y in b:
                 self.wording[self.known[x] * self.width + self.known[y]] = True
+        self.times = np.zeros((len(self.templates), self.width * self.width), np.int32)
+        for k, (_, b) in enumerate(self.templates):
+            for (x, y), n in b.items():
+                self.times[k, self.known[x] * self.width + self.known[y]] = n
 
     def best(self, tokens: list[bytes]) -> tuple[float, str] | None:
         """The best template of sizes that can reach the threshold."""
@@ -73,6 +80,56 @@ class Scanner:
                 found = (d, name)
         return found
 
+    def windows(self, ids: np.ndarray, begin: np.ndarray, end: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
+        """First and last of the lines (with words) of the best windows. ids: words; line j has those from begin[j] to end[j]."""
+        t, least = self.threshold, self.threshold / (2 - self.threshold)
+        if not len(begin):
+            return []
+        code = ids[:-1] * self.width + ids[1:]
+        on = self.wording[code]
+        hit = code[on]
+        before = np.concatenate([[0], np.cumsum(on)])  # bigrams of any template's wording before a place
+        # A window needs hits >= least * bigrams: of a first line, that some last line of its text reaches it.
+        apart = 2.0 * len(ids) * doc
+        reach = np.maximum.accumulate((before[end - 1] - least * (end - 1) - apart)[::-1])[::-1]
+        starts = np.flatnonzero(reach >= before[begin] - least * begin - apart - 1e-3)
+        final = np.searchsorted(doc, doc[starts], side="right") - 1
+        top: dict[int, tuple[float, int, int, int]] = {}
+        for k, b in enumerate(self.sizes):
+            has = np.concatenate([[0], np.cumsum(self.times[k, hit] > 0)])
+            place = begin[starts]
+            lo = np.searchsorted(end, place + 1 + b * least - 1e-9)
+            hi = np.minimum(np.searchsorted(end, place + 1 + b / least + 1e-9, side="right") - 1, final)
+            able = np.flatnonzero((lo <= hi) & (b > 0))
+            n = end[lo[able]] - 1 - place[able]
+            able = able[2 * (has[before[end[hi[able]] - 1]] - has[before[place[able]]]) >= t * (n + b) - 1e-9]
+            for i in able.tolist():
+                first, last = before[place[i]], end[lo[i] : hi[i] + 1] - 1
+                own = hit[first : before[last[-1]]]
+                order = np.argsort(own, kind="stable")
+                new = np.concatenate([[True], own[order][1:] != own[order][:-1]])
+                rank = np.empty(len(own), np.int64)  # how often a bigram has occurred in the window before
+                rank[order] = np.arange(len(own)) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))
+                common = np.concatenate([[0], np.cumsum(rank < self.times[k, own])])[before[last] - first]
+                d = 2 * common / (last - place[i] + b)
+                m = len(d) - 1 - int(np.argmax(d[::-1]))
+                best = (float(d[m]), int(last[m]), -k, int(lo[i]) + m)
+                if d[m] >= t and best > top.get(i, (0.0,)):
+                    top[i] = best
+        found = sorted((-d, int(begin[starts[i]]) - e, -k, int(starts[i]), m) for i, (d, e, k, m) in top.items())
+        kept: list[tuple[int, int]] = []
+        holds: dict[int, set[str]] = {}  # line: licences of the windows kept
+        inside: dict[int, set[int]] = {}  # line: windows kept
+        for _, _, k, j, m in found:
+            name = self.templates[k][0]
+            if any(name in holds.get(x, ()) for x in range(j, m + 1)) or inside.get(j, set()) & inside.get(m, set()):
+                continue
+            for x in range(j, m + 1):
+                holds.setdefault(x, set()).add(name)
+                inside.setdefault(x, set()).add(len(kept))
+            kept.append((j, m))
+        return kept
+
     def scan(self, texts: list[bytes | None]) -> list[list[tuple[str, float, int, int]]]:
         """For each text: (licence, Dice, first line, lines) of each match."""
         tokens: list[bytes] = []
@@ -113,6 +170,8 @@ class Scanner:
             hits = pair[line_end[hi]] - pair[line_begin[lo]]  # one too many at most
             ok = (n >= 2) & (hi > lo) & (hits >= least * (n - 1) - 1e-9)
             units |= set(zip(lo[ok].tolist(), hi[ok].tolist(), strict=True))
+        filled = np.flatnonzero(size > 0)
+        units |= {(int(filled[j]), int(filled[m])) for j, m in self.windows(ids[solid], count[line_begin[filled]], count[line_end[filled]], line_doc[filled])}
         out: list[list[tuple[str, float, int, int]]] = [[] for _ in texts]
         for lo, hi in sorted(units, key=lambda u: (u[0] - u[1], u[0])):
             got = self.best([w for w in tokens[line_begin[lo] : line_end[hi]] if w != b"\n"])

@@ -112,6 +112,42 @@ def test_scan_finds_licences_in_prose():
     assert b == [] and c == [] and [m[:2] for m in d] == [("Apache-2.0", 1.0)]
 
 
+def laid_out(words, paragraphs, mark, gap):
+    """Words in paragraphs of lines of nine words each."""
+    step = -(-len(words) // paragraphs)
+    parts = [words[i : i + step] for i in range(0, len(words), step)]
+    return f"\n{gap}\n".join("\n".join(mark + " ".join(p[i : i + 9]) for i in range(0, len(p), 9)) for p in parts)
+
+
+@pytest.mark.parametrize(("mark", "gap"), [("", ""), ("# ", "#"), (" * ", " *")])
+def test_scan_finds_paragraphs_inside_other_content(mark, gap):
+    s = license_scan.Scanner(tuple((n, t) for n in sorted(TEMPLATES) for t in TEMPLATES[n]), 0.8)
+    long = {n: max(TEMPLATES[n], key=len).split() for n in ("MIT", "GPL-3.0", "GPL-2.0", "BSD-2-Clause", "Apache-2.0")}
+    prose = "\n\n".join(f"Chapter {i} tells of rivers and hills\nand of the people by the sea" for i in range(9))
+    for name, ws in long.items():
+        body = laid_out(ws, 3, mark, gap)
+        (m,) = s.scan([f"{prose}\n\n{body}\n\n{prose}".encode()])[0]
+        assert (m[0], m[1], m[2], m[3]) == (name, 1.0, prose.count("\n") + 2, body.count("\n") + 1)
+    every = s.scan([f"{prose}\n\n".join(laid_out(ws, 3, mark, gap) + "\n\n" for ws in long.values()).encode(), "\n\n".join(laid_out(ws, 3, mark, gap) for ws in long.values()).encode(), "\n".join([laid_out(long["MIT"], 3, mark, gap)] * 3).encode()])
+    assert [[m[:2] for m in x] for x in every] == [[(n, 1.0) for n in long]] * 2 + [[("MIT", 1.0)] * 3]
+
+
+def test_windows_match_brute_force():
+    flat = tuple((n, t) for n, t in [("A", "a b c d e f g h"), ("B", "a b a b c c"), ("C", "f g h a")])
+    s, rng = license_scan.Scanner(flat, 0.8), random.Random(9)
+    texts = [["".join(rng.choice("abcdefgh  x") for _ in range(rng.randrange(0, 9))) if rng.random() < 0.4 else " ".join("abcdefgh"[i : i + rng.randrange(1, 5)]) for i in (rng.randrange(8) for _ in range(rng.randrange(1, 9)))] for _ in range(1500)]
+    found = 0
+    for lines, got in zip(texts, s.scan(["\n".join(x).encode() for x in texts]), strict=True):
+        windows = [license_scan.words(" ".join(lines[i : j + 1]).encode()) for i in range(len(lines)) for j in range(i, len(lines))]
+        best = max(license_scan.dice(license_scan.bigrams(w), t) for w in windows for _, t in s.templates)
+        assert bool(got) == (best >= 0.8), lines
+        for name, d, first, n in got:
+            own = license_scan.bigrams(license_scan.words(" ".join(lines[first : first + n]).encode()))
+            assert d == max(license_scan.dice(own, t) for k, t in s.templates if k == name)
+        found += bool(got)
+    assert 100 < found < 1400
+
+
 def test_lines_match_brute_force():
     flat = tuple((n, t) for n in sorted(TEMPLATES) for t in TEMPLATES[n])
     s, rng = license_scan.Scanner(flat, 0.8), random.Random(4)
