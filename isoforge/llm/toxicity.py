@@ -8,8 +8,10 @@ compressed with both; the bytes that the toxic dictionary saves are the window's
 numbers of windows that save 2 to 6 bytes, the largest saving and the text's length go through a logistic
 curve, calibrated on labelled documents that the dictionaries were not trained on.
 
-Learning takes at most TRAIN_DOCS rows of each label and TRAIN_BYTES of their texts, whole texts, those with the
-smallest hash of the id among rows that may be learned from; this is the only bound, and every text is scored whole. The model (the two
+Learning takes at most TRAIN_DOCS rows of each label, those with the smallest hash of the id among rows that may be
+learned from, and TRAIN_BYTES of their texts: whole texts where they fit, otherwise the longest ones are held at the
+length with which all fit, in PIECES pieces spread evenly over the text, so no row is left out for its own or another
+row's length. These are the bounds, and every text is scored whole. The model (the two
 dictionaries, some hundred KB at most, and some twenty numbers) goes to the tasks with the function.
 
 Defined results: null and empty texts have no window and get the curve's value at no evidence, as any
@@ -37,6 +39,8 @@ from isoforge.llm.common import bucket4, chunks, id_text, map_chunks, table
 
 TRAIN_DOCS = 3000
 TRAIN_BYTES = 24_000_000
+#: A text that is too long to be learned from whole is learned from in so many pieces.
+PIECES = 16
 #: Of the learning rows, the part whose only use is calibration.
 CALIBRATE = 0.35
 WINDOWS = (10, 6)
@@ -170,6 +174,25 @@ def fit(rows: list[tuple[bytes, int]], toxic_share: float | None = None) -> Mode
     return Model(*model, tuple(weights.tolist()))
 
 
+def longest_part(sizes: dict[int, int], total: int) -> int:
+    """The largest bound on a text's length with which all texts fit into total. sizes: number of texts of a length."""
+    left, n = total, sum(sizes.values())
+    for b, k in sorted(sizes.items()):
+        if b * n > left:
+            return max(PIECES, left // n)
+        left, n = left - b * k, n - k
+    return max([PIECES, *sizes])
+
+
+def joined(pieces: list[bytes]) -> bytes:
+    """A text of its pieces, without the words that a cut may have split."""
+    if len(pieces) == 1:
+        return bytes(pieces[0])
+    last = len(pieces) - 1
+    whole = [p if i == 0 else re.sub(rb"^\S*\s", b"", p) for i, p in enumerate(map(bytes, pieces))]
+    return b" ".join(p if i == last else re.sub(rb"\s\S*$", b"", p) for i, p in enumerate(whole))
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", may_learn=None, train_docs: int = TRAIN_DOCS) -> Model:
     """Fits on at most train_docs rows of each label. may_learn: a condition on id_col."""
     rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -181,11 +204,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = rows.withColumn("__n", order).where(F.col("__n") <= train_docs).select("__i", "__y", "__n")
     # at most twice train_docs rows
     texts = docs.select(F.col(id_col).alias("__i"), F.col(text_col).cast("string").alias("__t")).where("__t is not null")
-    sized = texts.join(F.broadcast(chosen), "__i").select("__i", "__y", "__n", F.xxhash64("__t").alias("__h"), F.octet_length("__t").alias("__b"))
-    running = F.sum("__b").over(Window.partitionBy("__y").orderBy("__n", "__h", "__b"))
-    fits = sized.withColumn("__r", running).where(F.col("__r") <= TRAIN_BYTES).select("__i", "__y").distinct()
-    got = texts.join(F.broadcast(fits), "__i").select(F.xxhash64(F.col("__i"), F.lit(7)).alias("__k"), "__i", "__t", "__y").collect()
-    return fit([(r["__t"].encode(), r["__y"]) for r in sorted(got, key=lambda r: (r["__k"], str(r["__i"]), r["__t"]))], shares.get(1, 0) / max(1, sum(shares.values())))
+    sized = texts.join(F.broadcast(chosen), "__i").select("__i", "__t", "__y", F.octet_length("__t").alias("__b"))
+    sizes: dict[int, dict[int, int]] = {0: {}, 1: {}}
+    for r in sized.groupBy("__y", "__b").count().collect():
+        sizes[r["__y"]][r["__b"]] = r["count"]
+    part = {y: longest_part(own, TRAIN_BYTES) for y, own in sizes.items()}
+    most = F.when(F.col("__y") == 1, part[1]).otherwise(part[0])
+    raw, length = F.col("__t").cast("binary"), F.floor(most / PIECES).cast("int")
+    spread = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substring(raw, F.floor(k * (F.col("__b") - length) / (PIECES - 1)).cast("int") + 1, length))
+    pieces = F.when(F.col("__b") <= most, F.array(raw)).otherwise(spread).alias("__t")
+    got = [(r["__k"], str(r["__i"]), joined(r["__t"]), r["__y"]) for r in sized.select(F.xxhash64(F.col("__i"), F.lit(7)).alias("__k"), "__i", pieces, "__y").collect()]
+    return fit([(t, y) for _, _, t, y in sorted(got, key=lambda r: r[:3])], shares.get(1, 0) / max(1, sum(shares.values())))
 
 
 def score_texts(texts: list[bytes | None], model: Model) -> np.ndarray:
