@@ -11,7 +11,8 @@ curve, calibrated on labelled documents that the dictionaries were not trained o
 Learning takes at most TRAIN_DOCS rows of each label, those with the smallest hash of the id among rows that may be
 learned from, and TRAIN_BYTES of their texts: whole texts where they fit, otherwise the longest ones are held at the
 length with which all fit, in PIECES pieces spread evenly over the text, so no row is left out for its own or another
-row's length. These are the bounds, and every text is scored whole. The model (the two
+row's length. The ordinary dictionary is trained on at most SAMPLES windows, of all these texts: an equal number from each
+text that has more, spread evenly over it. These are the bounds, and every text is scored whole. The model (the two
 dictionaries, some hundred KB at most, and some twenty numbers) goes to the tasks with the function.
 
 Defined results: null and empty texts have no window and get the curve's value at no evidence, as any
@@ -49,6 +50,8 @@ LEAST_G = 35.0
 LEAST_PURITY = 0.8
 MAX_UNITS = 2000
 DICT_BYTES = 131_072
+#: Windows that the ordinary dictionary is trained on.
+SAMPLES = 20 * DICT_BYTES // 60
 THRESHOLD = 0.3
 PUNCTUATION = re.compile(rb"[!-/:-@\[-`{-~]+")
 STEPS = (2, 3, 4, 5, 6)
@@ -149,6 +152,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int
     return w
 
 
+def spread_windows(texts: list[bytes], most: int) -> list[bytes]:
+    """All windows if they are at most so many; else those of long texts are thinned out evenly, equally many of each."""
+    parts = [p for t in texts if (p := windows(t))]
+    if not parts:
+        return []
+    share = longest_part(Counter(map(len, parts)), most)
+    return [p[i * len(p) // min(share, len(p))] for p in parts for i in range(min(share, len(p)))][:most]
+
+
 def fit(rows: list[tuple[bytes, int]], toxic_share: float | None = None) -> Model:
     """rows: (text, label) in an order that doesn't depend on the label. toxic_share: of all labelled rows, if rows have another."""
     seen: dict[bytes, int] = {}
@@ -160,9 +172,9 @@ def fit(rows: list[tuple[bytes, int]], toxic_share: float | None = None) -> Mode
     labels = {y for _, y in rows[cut:]}
     if not toxic or not ordinary or labels != {0, 1}:
         return Model(b"", b"", ())
-    samples = [w for t in ordinary for w in windows(t)]
+    samples = spread_windows(ordinary, SAMPLES)
     try:
-        base = zstd.train_dictionary(DICT_BYTES, samples[: 20 * DICT_BYTES // 60]).as_bytes()
+        base = zstd.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstd.ZstdError:  # too little text to train on
         base = b" ".join(samples)[:DICT_BYTES]
     marks = marking_units(toxic, ordinary)
@@ -179,9 +191,9 @@ def longest_part(sizes: dict[int, int], total: int) -> int:
     left, n = total, sum(sizes.values())
     for b, k in sorted(sizes.items()):
         if b * n > left:
-            return max(PIECES, left // n)
+            return max(1, left // n)
         left, n = left - b * k, n - k
-    return max([PIECES, *sizes])
+    return max([1, *sizes])
 
 
 def joined(pieces: list[bytes]) -> bytes:
@@ -208,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes: dict[int, dict[int, int]] = {0: {}, 1: {}}
     for r in sized.groupBy("__y", "__b").count().collect():
         sizes[r["__y"]][r["__b"]] = r["count"]
-    part = {y: longest_part(own, TRAIN_BYTES) for y, own in sizes.items()}
+    part = {y: max(PIECES, longest_part(own, TRAIN_BYTES)) for y, own in sizes.items()}
     most = F.when(F.col("__y") == 1, part[1]).otherwise(part[0])
     raw, length = F.col("__t").cast("binary"), F.floor(most / PIECES).cast("int")
     spread = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substring(raw, F.floor(k * (F.col("__b") - length) / (PIECES - 1)).cast("int") + 1, length))

@@ -249,6 +249,18 @@ def test_op10_learns_beside_very_long_texts(spark, monkeypatch, long_label):
     assert sum((p >= 0.3) == bool(y) for p, (_, y) in zip(s, labels, strict=False)) >= 0.9 * 240
 
 
+def test_ordinary_dictionary_is_trained_on_all_documents(monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity.zstd, "train_dictionary", lambda size, samples: seen.extend(samples) or (_ for _ in ()).throw(toxicity.zstd.ZstdError("no")))
+    rows = [(b"w%d " % i * (450_000 if i == 0 else 200) + b"end%d" % i, 0) for i in range(20)] + [(b"bad%d " % i * 50, 1) for i in range(20)]
+    random.Random(1).shuffle(rows)
+    rows.sort(key=lambda r: not r[0].startswith(b"w0 "))
+    toxicity.fit(rows)
+    cut = round(len(rows) * (1 - toxicity.CALIBRATE))
+    assert {w.split()[0] for w in seen} >= {t.split()[0] for t, y in rows[:cut] if not y}
+    assert len(seen) <= 43_690
+
+
 def test_longest_part():
     assert toxicity.longest_part({10: 3, 50: 1}, 80) == 50
     assert toxicity.longest_part({20: 3, 10**9: 2}, 160) == 50
