@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -10,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,3 +116,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 def bucket4(id_col: str = "doc_id"):
     """crc32 of the id as text, mod 4; 2 marks the rows held out from learning."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4
+
+
+def longest_part(sizes: dict[int, int], total: int) -> int:
+    """The largest bound on a text's length with which all texts fit into total. sizes: number of texts of a length."""
+    left, n = total, sum(sizes.values())
+    for b, k in sorted(sizes.items()):
+        if b * n > left:
+            return max(1, left // n)
+        left, n = left - b * k, n - k
+    return max([1, *sizes])
+
+
+def spread_pieces(text: Column, size: Column, most: Column, pieces: int) -> Column:
+    """The bytes of a text as one piece if it has most bytes at most, else as so many pieces of equal length spread evenly over it."""
+    raw, length = text.cast("binary"), F.floor(most / pieces).cast("int")
+    spread = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.substring(raw, F.floor(k * (size - length) / (pieces - 1)).cast("int") + 1, length))
+    return F.when(size <= most, F.array(raw)).otherwise(spread)
+
+
+def joined(pieces: list[bytes]) -> bytes:
+    """A text of its pieces, without the words that a cut may have split."""
+    if len(pieces) == 1:
+        return bytes(pieces[0])
+    last = len(pieces) - 1
+    whole = [p if i == 0 else re.sub(rb"^\S*\s", b"", p) for i, p in enumerate(map(bytes, pieces))]
+    return b" ".join(p if i == last else re.sub(rb"\s\S*$", b"", p) for i, p in enumerate(whole))

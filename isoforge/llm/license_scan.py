@@ -1,19 +1,21 @@
 """License scans: Dice coefficient over word bigrams against licence templates.
 
-A text is normalised (A-Z lower-cased, words are runs of letters and digits, or of bytes beyond ASCII) and compared in
-units: every line, every paragraph (lines between blank ones), every run of neighbouring lines that are
-mostly template wording, the whole text, and of all windows of neighbouring lines the best (lines without words
-neither end nor dilute one, so a licence of several paragraphs is found inside other content). With a unit of
+A text is normalised (A-Z lower-cased, words are runs of letters and digits, or of bytes beyond ASCII) and cut into
+segments: lines, and within lines sentences. It is compared in units: every segment, every paragraph (lines between blank
+ones), every run of neighbouring segments that are mostly template wording, the whole text, and of all windows of
+neighbouring segments the best (segments without words neither end nor dilute one, so a licence of several paragraphs is
+found inside other content, and a sentence inside a line). With a unit of
 a bigrams and a template of b, Dice is 2 * common / (a + b), bigrams counted as often as they occur. Dice >= t
 bounds b to a*t/(2-t) .. a*(2-t)/t, so only templates of such sizes are compared; and a unit needs t/(2-t) of its
 bigrams in the wording of all templates at all, which prefix sums give for all units of a chunk at once. Windows are
-compared from each first line that may begin one; of windows that overlap and name the same licence the one of the
-highest Dice stays (then the longest).
+compared from each first segment that may begin one. The best template of a unit names it. Of matches that overlap and
+name the same licence the one of the highest Dice stays (then the longest), and a match inside a better one of
+another licence is dropped, so that a licence isn't named after a shorter relative that it contains.
 
 Defined results: null or empty texts and units of fewer than two words match nothing; of equal Dice the
-template that comes first in order of names wins; matches inside a longer match of the same licence
-are reported once, by the longest; texts of any length are scanned whole; repeated rows get equal results;
-a null id stays null; an empty table gives no rows; other columns are ignored.
+template that comes first in order of names wins; texts of any length are scanned whole; repeated rows get equal results;
+a null id stays null; an empty table gives no rows; other columns are ignored. Licences without a template are not
+found, or are named after one whose wording they share to the threshold.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ from isoforge.llm.common import id_text, map_chunks, table
 from isoforge.llm.license_templates import TEMPLATES
 
 THRESHOLD = 0.8
-TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|\n")
+#: Words, ends of lines, and ends of sentences inside a line.
+TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|\n|[.!?](?=[ \t]+[^\s])")
+CUTS = (b"\n", b".", b"!", b"?")
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
@@ -57,16 +61,16 @@ class Scanner:
         self.sizes = np.array([b.total() for _, b in self.templates])
         vocabulary = sorted({w for _, b in self.templates for pair in b for w in pair})
         self.known = {w: i + 1 for i, w in enumerate(vocabulary)}  # 0: any other word
-        self.known[b"\n"] = -1
+        self.known |= dict.fromkeys(CUTS, -1)
         self.width = len(vocabulary) + 1
-        self.wording = np.zeros(self.width * self.width, bool)
-        for _, b in self.templates:
-            for x, y in b:
-                self.wording[self.known[x] * self.width + self.known[y]] = True
-        self.times = np.zeros((len(self.templates), self.width * self.width), np.int32)
+        pairs = sorted({pair for _, b in self.templates for pair in b})
+        self.pair = np.full(self.width * self.width, -1, np.int32)  # number of a bigram of the templates
+        self.pair[[self.known[x] * self.width + self.known[y] for x, y in pairs]] = np.arange(len(pairs))
+        number = {pair: i for i, pair in enumerate(pairs)}
+        self.times = np.zeros((len(self.templates), len(pairs)), np.int32)
         for k, (_, b) in enumerate(self.templates):
-            for (x, y), n in b.items():
-                self.times[k, self.known[x] * self.width + self.known[y]] = n
+            for pair, n in b.items():
+                self.times[k, number[pair]] = n
 
     def best(self, tokens: list[bytes]) -> tuple[float, str] | None:
         """The best template of sizes that can reach the threshold."""
@@ -85,8 +89,8 @@ class Scanner:
         t, least = self.threshold, self.threshold / (2 - self.threshold)
         if not len(begin):
             return []
-        code = ids[:-1] * self.width + ids[1:]
-        on = self.wording[code]
+        code = self.pair[ids[:-1] * self.width + ids[1:]]
+        on = code >= 0
         hit = code[on]
         before = np.concatenate([[0], np.cumsum(on)])  # bigrams of any template's wording before a place
         # A window needs hits >= least * bigrams: of a first line, that some last line of its text reaches it.
@@ -131,7 +135,7 @@ class Scanner:
         return kept
 
     def scan(self, texts: list[bytes | None]) -> list[list[tuple[str, float, int, int]]]:
-        """For each text: (licence, Dice, first line, lines) of each match."""
+        """For each text: (licence, Dice, first line, lines) of each match. Inside, a "line" is a segment."""
         tokens: list[bytes] = []
         ends = []
         for t in texts:
@@ -145,7 +149,7 @@ class Scanner:
         solid = np.flatnonzero(~cut)
         hit = np.zeros(len(ids), np.int64)
         if len(solid) > 1:
-            hit[solid[:-1]] = self.wording[ids[solid[:-1]] * self.width + ids[solid[1:]]]
+            hit[solid[:-1]] = self.pair[ids[solid[:-1]] * self.width + ids[solid[1:]]] >= 0
         np.cumsum(hit, out=pair[1:])
         count = np.concatenate([[0], np.cumsum(~cut)])
         line_end = np.flatnonzero(cut)
@@ -172,15 +176,22 @@ class Scanner:
             units |= set(zip(lo[ok].tolist(), hi[ok].tolist(), strict=True))
         filled = np.flatnonzero(size > 0)
         units |= {(int(filled[j]), int(filled[m])) for j, m in self.windows(ids[solid], count[line_begin[filled]], count[line_end[filled]], line_doc[filled])}
-        out: list[list[tuple[str, float, int, int]]] = [[] for _ in texts]
-        for lo, hi in sorted(units, key=lambda u: (u[0] - u[1], u[0])):
-            got = self.best([w for w in tokens[line_begin[lo] : line_end[hi]] if w != b"\n"])
+        matches = []
+        for lo, hi in units:
+            got = self.best([w for w in tokens[line_begin[lo] : line_end[hi]] if w not in CUTS])
             if got:
-                d, name = got
-                doc = int(line_doc[lo])
-                first = lo - int(doc_line[doc])
-                if not any(m[0] == name and m[2] <= first and first + hi - lo < m[2] + m[3] for m in out[doc]):
-                    out[doc].append((name, d, first, hi - lo + 1))
+                matches.append((-got[0], lo - hi, lo, hi, got[1]))
+        breaks = np.concatenate([[0], np.cumsum(np.fromiter((w == b"\n" for w in tokens), bool, len(tokens)))])
+        kept: dict[int, list[tuple[int, int, str]]] = {}
+        out: list[list[tuple[str, float, int, int]]] = [[] for _ in texts]
+        for d, _, lo, hi, name in sorted(matches):
+            doc = int(line_doc[lo])
+            own = kept.setdefault(doc, [])
+            if any((a <= hi and lo <= b) if name == other else (a <= lo and hi <= b) for a, b, other in own):
+                continue
+            own.append((lo, hi, name))
+            first, last = (int(breaks[line_begin[x]] - breaks[line_begin[doc_line[doc]]]) for x in (lo, hi))
+            out[doc].append((name, -d, first, last - first + 1))
         return [sorted(m, key=lambda x: (x[2], x[3], x[0])) for m in out]
 
 

@@ -4,15 +4,15 @@ Each map task cuts its documents into pieces and packs them best-fit, largest fi
 CAPACITY tokens. Bins that are nearly full (SLACK tokens free or fewer) are done. The underfull ones
 become items: FAN neighbouring tasks' bins are packed best-fit into each other, done bins leave, and the
 next round merges FAN groups, as a tree, up to the root. Only (bin, fill) travels, never text or tokens.
-A task and a group hand at most MAX_GROUP / FAN bins on to the next round, the emptiest, so no group has over
-MAX_GROUP bins whatever the input; the others stay as they are.
+All underfull bins take part in every round. A group of over MAX_GROUP of them is dealt out by a hash into as many
+parts as it needs, which are packed side by side and meet others in later rounds; a part packs as well as a whole of its
+size, so the loss is one bin or so for each part.
 
 A document over CAPACITY tokens is cut so that its first piece is the remainder and all others are full;
 full pieces are bins of their own. Within a task documents are held as numbers only, in runs of LOCAL.
 
-Token ids are those of the tokenizers library. The same vocabulary as tiktoken ranks gives equal ids four
-times as fast; it encodes texts of characters below U+0250 and of general punctuation, and the tokenizers library all
-others (tests hold both against each other).
+Token ids are those of the tokenizers library, for every text. Texts over LONG_CHARS characters are encoded in chunks
+that are spliced at stable boundaries (token_counts.encode_long), which gives the same ids in bounded memory.
 
 Defined results: a null text is empty: one piece of the end token; every row is packed, repeated rows
 each on their own; a null id stays null; an empty table gives no rows; other columns are ignored.
@@ -20,12 +20,8 @@ each on their own; a null id stays null; an empty table gives no rows; other col
 
 from __future__ import annotations
 
-import base64
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,45 +31,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isoforge.llm.common import chunks, id_text, materialise, table
+from isoforge.llm.token_counts import encode_long, splits_at_space, tokenizer, tokenizer_path
 
 CAPACITY = 1024
 END = 2
 SLACK = 8
 FAN = 32
+#: Documents that a task packs at once.
 LOCAL = 200_000
+#: Bins that a group packs at once.
 MAX_GROUP = 200_000
-#: Characters on which the two libraries' character classes can't differ.
-PLAIN = re.compile("[^\x00-ɏ‐-‧€]")
-SPECIAL = "<|endoftext|>"
+LONG_CHARS = 1_000_000
 
 
-@lru_cache(2)
-def encoders(path: str):
-    """(tiktoken encoding or None, tokenizers tokenizer) of the byte-level vocabulary at path."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    slow = Tokenizer.from_file(path)
-    slow.no_truncation()
-    slow.no_padding()
-    fast, ranks = None, path.removesuffix(".json") + ".tiktoken"
-    if os.path.exists(ranks):
-        import public_tokenizers
-        import tiktoken
-
-        with open(ranks, "rb") as f:
-            merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={SPECIAL: slow.token_to_id(SPECIAL)})
-    return fast, slow
-
-
-def encode(text: str, path: str, end: int = END) -> np.ndarray:
-    fast, slow = encoders(path)
-    if fast is None or PLAIN.search(text):
-        ids = np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
-    else:
-        ids = fast.encode_to_numpy(text, allowed_special="all")
-    return np.append(ids, end).astype("<u4")
+def encode(texts: list[bytes | None], path: str, end: int = END) -> Iterator[np.ndarray]:
+    """The ids of each text, and the end token."""
+    t, may_cut = tokenizer(path), splits_at_space(path)
+    strings = [(x or b"").decode("utf-8", "replace") for x in texts]
+    long = {i for i, s in enumerate(strings) if may_cut and len(s) > LONG_CHARS}
+    found = iter(t.encode_batch_fast([s for i, s in enumerate(strings) if i not in long], add_special_tokens=False))
+    for i, s in enumerate(strings):
+        ids = [np.array(x, "<u4") for x in encode_long(t, s)] if i in long else [np.array(next(found).ids, "<u4")]
+        yield np.concatenate([*ids, np.array([end], "<u4")])
 
 
 def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,15 +85,7 @@ def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, n
 PIECES = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("bin", T.LongType()), ("at", T.LongType()), ("fill", T.LongType()), ("open", T.BooleanType())]
 
 
-def emptiest(fills: np.ndarray, limit: int, most: int) -> np.ndarray:
-    """Which bins are handed on: those under limit, the emptiest ones up to most."""
-    out = np.zeros(len(fills), bool)
-    under = np.flatnonzero(fills < limit)
-    out[under[np.argsort(fills[under], kind="stable")[:most]]] = True
-    return out
-
-
-def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end: int, slack: int, most: int) -> DataFrame:
+def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end: int, slack: int) -> DataFrame:
     """All pieces, packed within their task. bin: the task's number and the bin's number there; open: is it handed on?"""
     rows = id_text(docs, id_col, text_col)
     schema = T.StructType([T.StructField("__id", rows.schema["__id"].dataType), *(T.StructField(n, t) for n, t in PIECES)])
@@ -123,15 +94,14 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
         task = TaskContext.get().partitionId() << 40
         ids: list[pa.Array] = []
         found: list[tuple] = []
-        made, left = 0, most
+        made = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal made, left
+            nonlocal made
             cols = [np.array(c, np.int64) for c in zip(*found, strict=True)]
             owner = pa.concat_arrays(ids).take(pa.array(cols[0]))
             bins, at, fills = best_fit(cols[3], capacity)
-            on = emptiest(fills, capacity - slack, left)
-            left -= int(on.sum())
+            on = fills < capacity - slack
             values = [owner, pa.array(cols[1], pa.int32()), *(pa.array(c) for c in cols[2:]), pa.array(bins + task + made), pa.array(at), pa.array(fills[bins]), pa.array(on[bins])]
             made += len(fills)
             yield from pa.Table.from_arrays(values, names=schema.names).to_batches(50_000)
@@ -140,8 +110,7 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
         n = 0
         for own, texts, _ in chunks(batches):
             ids.append(own)
-            for t in texts:
-                tokens = encode((t or b"").decode("utf-8", "replace"), path, end)
+            for tokens in encode(texts, path, end):
                 begin, k = 0, 0
                 stop = len(tokens) % capacity or capacity
                 while begin < len(tokens):
@@ -157,7 +126,7 @@ def pieces(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int
     return rows.mapInArrow(run, schema)
 
 
-def merge_round(rooted: DataFrame, capacity: int, slack: int, fan: int, most: int) -> DataFrame:
+def merge_round(rooted: DataFrame, capacity: int, slack: int, fan: int, max_group: int = MAX_GROUP) -> DataFrame:
     """Packs the bins of fan groups into each other. rooted: first (the map task's bin), bin, base (offset there), fill, open, grp."""
     names = rooted.columns
 
@@ -169,22 +138,24 @@ def merge_round(rooted: DataFrame, capacity: int, slack: int, fan: int, most: in
         # a bin is named after the first one packed into it
         name = np.empty(len(fills), np.int64)
         name[into[at == 0]] = which[at == 0]
-        on = emptiest(fills, capacity - slack, most)
+        on = fills < capacity - slack
         return pa.table({"first": c["first"], "bin": name[into][inverse], "base": c["base"] + at[inverse], "fill": fills[into][inverse], "open": on[into][inverse], "grp": c["grp"]})
 
     grouped = rooted.withColumn("grp", F.expr(f"grp div {fan}"))
-    return grouped.groupBy("grp").applyInArrow(merge, grouped.schema)
+    # parts of a group: at most one row for each map task, whatever the data
+    parts = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / max_group).alias("parts"))
+    dealt = grouped.join(F.broadcast(parts), "grp").withColumn("part", F.pmod(F.xxhash64("bin"), "parts")).select(*names, "part")
+    return dealt.groupBy("grp", "part").applyInArrow(merge, grouped.schema)
 
 
-def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, slack: int = SLACK, fan: int = FAN) -> DataFrame:
+def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, slack: int = SLACK, fan: int = FAN, max_group: int = MAX_GROUP) -> DataFrame:
     """A row for each piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    most = MAX_GROUP // fan
-    packed = materialise(pieces(docs, path, id_col, text_col, capacity, end, slack, most), "pieces")
+    packed = materialise(pieces(docs, path, id_col, text_col, capacity, end, slack), "pieces")
     rooted = packed.where((F.col("at") == 0) & F.col("open")).select(F.col("bin").alias("first"), "bin", F.lit(0).cast("long").alias("base"), "fill", "open", F.shiftright("bin", 40).alias("grp"))
     groups = (packed.agg(F.max(F.shiftright("bin", 40))).first()[0] or 0) + 1
     done: list[DataFrame] = []
     while True:
-        rooted = materialise(merge_round(rooted, capacity, slack, fan, most), "bins")
+        rooted = materialise(merge_round(rooted, capacity, slack, fan, max_group), "bins")
         groups = -(-groups // fan)
         if groups <= 1:
             break
@@ -198,6 +169,4 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from isoforge.llm.token_counts import tokenizer_path
-
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -148,7 +148,7 @@ def check_packing(rows, docs, capacity=1024):
     path = token_counts.tokenizer_path("byte_bpe_50k.json")
     ids = {}
     for d, t in docs:
-        ids.setdefault(d, packing.encode(t or "", path))
+        ids.setdefault(d, np.array([*token_counts.tokenizer(path).encode(t or "", add_special_tokens=False).ids, 2], "<u4"))
     by_doc, by_bin = {}, {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -189,14 +189,45 @@ def test_packing_odd(odd, nothing):
     assert packing.pack(nothing, path).count() == 0
 
 
-def test_both_encoders_agree():
-    path, rng = token_counts.tokenizer_path("byte_bpe_50k.json"), random.Random(6)
-    fast, slow = packing.encoders(path)
-    plain = [chr(c) for c in range(0x250)] + [chr(c) for c in range(0x2010, 0x2028)]
-    for k in range(600):
-        s = "".join(rng.choice(plain if k % 2 else "ab c\n\r\x0b  éσ你😀²ªǅ'll") for _ in range(rng.randrange(0, 120)))
-        s = s.replace("!", "<|endoftext|>")
-        assert packing.encode(s, path).tolist() == [*slow.encode(s, add_special_tokens=False).ids, 2]
+def test_long_texts_pack_like_whole_ones(spark, small, monkeypatch):
+    path = token_counts.tokenizer_path("byte_bpe_50k.json")
+    texts = [t.encode() for _, t in small[:40]] + ["\n".join(t for _, t in small[:9]).encode(), None, b""]
+    whole = [x.tolist() for x in packing.encode(texts, path)]
+    monkeypatch.setattr(packing, "LONG_CHARS", 500)
+    assert [x.tolist() for x in packing.encode(texts, path)] == whole
+    t = token_counts.tokenizer(path)
+    assert whole == [[*t.encode((x or b"").decode(), add_special_tokens=False).ids, 2] for x in texts]
+
+
+def plain_best_fit(sizes, capacity):
+    """Best-fit decreasing by a look at every bin."""
+    bins = []
+    for x in sorted(sizes, reverse=True):
+        fits = [(left, i) for i, left in enumerate(bins) if left >= x]
+        if fits:
+            bins[min(fits)[1]] -= x
+        else:
+            bins.append(capacity - x)
+    return len(bins)
+
+
+@pytest.mark.parametrize("max_group", [packing.MAX_GROUP, 40])
+def test_merging_nears_one_global_best_fit(spark, small, max_group):
+    """Sequences of 16 tasks packed alone, merged, and of one best-fit over all pieces."""
+    path = token_counts.tokenizer_path("byte_bpe_50k.json")
+    docs = frame(spark, small * 2).repartition(16)
+    rows = packing.pack(docs, path, fan=4, max_group=max_group).collect()
+    merged = len({r.sequence_id for r in rows})
+    best = plain_best_fit([r.length for r in rows], 1024)
+    alone = packing.pieces(docs, path, "doc_id", "text", 1024, 2, packing.SLACK).select("bin").distinct().count()
+    print(f"tasks alone {alone}, merged {merged}, one best-fit {best}")
+    assert best <= merged <= 1.05 * best and merged < alone
+
+
+def test_bins_that_never_fit_stay_apart(spark):
+    path = token_counts.tokenizer_path("byte_bpe_50k.json")
+    rows = packing.pack(frame(spark, [(i, "oak " * 599) for i in range(64)]).repartition(8), path, fan=2, max_group=5).collect()
+    assert len({r.sequence_id for r in rows}) == 64
 
 
 def test_best_fit():
