@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -11,6 +13,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,19 +37,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one for tests where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode may it be unset: one machine is all there is."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: operators need a folder that the driver and all executors share")
+    return f"file://{tempfile.gettempdir()}/isoforge-{os.getuid()}"
+
+
+#: Folders that a run has written, by the application that wrote them.
+WRITTEN: dict[str, str] = {}
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet to the shared folder and read it back.
 
-    Lost executors cost nothing that was written; only the columns a later step names are read again.
+    Lost executors cost nothing that was written; only the columns a later step names are read again. The folder is
+    deleted by discard, or when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not WRITTEN:
+        atexit.register(discard_all)
+    WRITTEN[path] = spark.sparkContext.applicationId
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    WRITTEN.pop(path, None)
+
+
+def discard(written: DataFrame) -> None:
+    """Delete what materialise wrote; nothing that is still to be computed may need it."""
+    delete(written.sparkSession, written._written)
+
+
+def discard_all() -> None:
+    """Delete all that this driver's application has written and not discarded, if its session is still there."""
+    try:
+        spark = SparkSession.getActiveSession()
+        if spark is None or spark.sparkContext._jsc is None:
+            return
+        for path in [p for p, app in WRITTEN.items() if app == spark.sparkContext.applicationId]:
+            delete(spark, path)
+    except (Py4JError, OSError):  # the JVM has ended before
+        return
 
 
 def partitions(spark: SparkSession) -> int:
@@ -89,14 +130,16 @@ def map_chunks(df: DataFrame, work: Callable[[list[bytes | None]], dict[str, obj
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, remembered while the table is small."""
+    """word -> 64-bit hash, remembered while the table is small; words over LONGEST bytes aren't remembered."""
 
-    LIMIT = 400_000
+    LIMIT, LONGEST = 400_000, 64
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[word] = h
         return h
 
 

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from isoforge.llm.common import partitions
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int | None = None) -> DataFrame:
     """rows joined with groups (one for each combination of keys that rows have; size: how many rows it has).
 
     Groups of more than 1 / (2 * partitions) of all rows are at most 2 * partitions in number, whatever the
     input; these are broadcast, and their rows, which need no partner any more, are dealt out by a hash of
-    themselves in the shuffle of the others. So no task gets a hot group. groups is read twice: write it first.
+    themselves in the shuffle of the others. So no task gets a hot group. groups is read twice, or three times where the
+    total of the sizes isn't given: write it first.
     """
     spark = rows.sparkSession
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    if total is None:
+        total = groups.agg(F.sum(size)).first()[0] or 0
     least = max(1, total // (2 * partitions(spark)))
     values = [c for c in groups.columns if c not in keys]
     hot = groups.where(F.col(size) > least).select(*keys, F.struct(*values).alias("__hot"))
