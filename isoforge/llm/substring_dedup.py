@@ -3,20 +3,22 @@
 A window is WINDOW consecutive words of a text. Its minimiser is the least hash of the GRAM-word sequences
 in it, so equal windows have equal minimisers; neighbouring windows that share one are a super-k-mer.
 
-1. Each text yields its super-k-mers as numbers: (minimiser, document, first window, windows).
+1. Each text yields its super-k-mers as numbers: (minimiser, document, first window, windows, hash of its words).
 2. Minimisers that occur in a single document are dropped: no window there has another copy. Spark takes
-   the least and largest document of each minimiser, combining within map tasks first.
+   the least and largest document of each minimiser, combining within map tasks first, and counts its distinct strings.
 3. The other super-k-mers travel as packed strings (their words, joined by a space) to the bucket of their
    minimiser. Of equal strings a map task sends one, with its smallest document, so that a passage that
    a third of all rows repeat is a string or a few for each task; the bucket combines what is left.
 4. A bucket numbers the windows of its strings exactly, by sorting word sequences of doubling length, and
    gives each window the smallest document it starts in. Strings of one minimiser stay together; a bucket
    is worked through in runs of RUN_WORDS words, with memory linear in them. A minimiser of over MAX_GROUP
-   super-k-mers (edited copies of one passage) is split: its windows travel one by one, as 128-bit digests.
+   distinct strings (edited copies of one passage) is split: its windows travel one by one, as 128-bit digests, and
+   equal ones are combined in map tasks first.
 5. A text loses each word that lies in a window which also starts in a document with a smaller id.
 
-Words are compared as words (hashes only choose buckets); strings find their rows again by a 128-bit
-BLAKE2b digest. Documents are shuffled once and their shuffle is used for both reads.
+Words are compared as words, but for split minimisers, whose windows are held equal if their 128-bit BLAKE2b digests are;
+strings find their rows again by such a digest, too. Minimisers, strings and windows that a large share of the rows hold
+are joined without gathering their rows (skew.join_groups). Documents are read twice and shuffled once.
 
 Defined results: null, empty and shorter texts keep all their words; windows repeated within a document,
 or in rows that repeat its id, don't count; a null id sorts after all others; every row gives one
@@ -36,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isoforge.llm.common import WordHashes, chunks, materialise, mix, table, word_hashes
+from isoforge.llm.skew import join_groups
 
 WINDOW = 50
 GRAM = 8
 RUN_WORDS = 1_000_000
-MAX_GROUP = 50_000
-#: Strings that a map task remembers to have sent.
+MAX_GROUP = 1000
+#: Strings that a map task remembers to have sent (by digests of 16 bytes).
 SENT = 500_000
 LAST = 2**63 - 1
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -66,10 +69,10 @@ def gram_hashes(h: np.ndarray, size: int) -> np.ndarray:
 
 
 def super_kmers(docs: list[list[bytes]], known: WordHashes, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document's number, first window, windows, minimiser) of all super-k-mers."""
+    """(document's number, first window, windows, minimiser, hash of the words) of all super-k-mers."""
     sizes = np.array([len(w) for w in docs], np.int64)
     long = np.flatnonzero(sizes >= window)
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.int64),)
+    none = (np.zeros(0, np.int64),) * 5
     if not len(long):
         return none
     h = np.concatenate([word_hashes(docs[i], known) for i in long])
@@ -84,10 +87,28 @@ def super_kmers(docs: list[list[bytes]], known: WordHashes, window: int, gram: i
     new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(at)))
-    return long[doc[first]], place[first], n, value[first]
+    # of the words from a on up to b: hash(b) - hash(a) * POWER^(b - a), from the hashes of all beginnings
+    begin = at[first]
+    end = begin + n + window - 1
+    return long[doc[first]], place[first], n, value[first], range_hashes(h, begin, end).view(np.int64)
 
 
-KMERS = T.StructType([T.StructField("__d", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("mini", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())])
+def range_hashes(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the words from begin up to end, equal for equal words wherever they are."""
+    # sum of h[i] * ODD^i, divided by ODD^begin: powers of an odd number have inverses modulo 2^64
+    power, inverse = powers(ODD, len(h) + 1), powers(np.uint64(pow(int(ODD), -1, 1 << 64)), len(h) + 1)
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h) * power[:-1], dtype=np.uint64)])
+    return mix((before[end] - before[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
+
+def powers(x: np.uint64, n: int) -> np.ndarray:
+    """x^0 .. x^(n - 1) modulo 2^64."""
+    out = np.ones(n, np.uint64)
+    out[1:] = x
+    return np.multiply.accumulate(out)
+
+
+KMERS = T.StructType([T.StructField("__d", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("mini", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("h", T.LongType())])
 PACKED = T.StructType([T.StructField("__d", T.LongType()), T.StructField("__k", T.LongType()), T.StructField("mini", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("key", T.BinaryType()), T.StructField("packed", T.BinaryType()), T.StructField("windows", T.ArrayType(T.BinaryType()))])
 RUNS = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("runs", T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("doc", T.LongType())])))])
 
@@ -96,9 +117,9 @@ def find_kmers(rows: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for _, texts, part in chunks(batches):
-            doc, start, n, mini = super_kmers([(t or b"").split() for t in texts], known, window, gram)
+            doc, start, n, mini, h = super_kmers([(t or b"").split() for t in texts], known, window, gram)
             d, k = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("__id", "__k"))
-            yield pa.RecordBatch.from_arrays([pa.array(d[doc]), pa.array(k[doc]), pa.array(mini), pa.array(start, pa.int32()), pa.array(n, pa.int32())], names=KMERS.names)
+            yield pa.RecordBatch.from_arrays([pa.array(d[doc]), pa.array(k[doc]), pa.array(mini), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(h)], names=KMERS.names)
 
     return rows.mapInArrow(run, KMERS)
 
@@ -238,23 +259,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("__id"), F.xxhash64(text).alias("__k"), text.alias("__text"))
     kmers = materialise(find_kmers(rows, window, gram), "superkmers")
-    shared = kmers.groupBy("mini").agg(F.min("__d").alias("lo"), F.max("__d").alias("hi"), F.count(F.lit(1)).alias("of")).where("lo <> hi").select("mini", (F.col("of") > max_group).alias("split"))
-    shared = materialise(shared, "shared")
-    found = kmers.join(shared, "mini").groupBy("__d", "__k").agg(F.collect_list(F.struct("mini", "start", "n", "split")).alias("found"))
+    alike = kmers.groupBy("mini", "h").agg(F.min("__d").alias("lo"), F.max("__d").alias("hi"), F.count(F.lit(1)).alias("of"))
+    shared = alike.groupBy("mini").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("of").alias("of"), F.count(F.lit(1)).alias("strings")).where("lo <> hi")
+    shared = materialise(shared.select("mini", "of", (F.col("strings") > max_group).alias("split")), "shared")
+    found = join_groups(kmers.drop("h"), shared, ["mini"], "of").groupBy("__d", "__k").agg(F.collect_list(F.struct("mini", "start", "n", "split")).alias("found"))
     found = found.select(F.col("__d").alias("__id"), "__k", "found")
 
-    packed = pack_kmers(rows.join(found, ["__id", "__k"]), window)
+    packed = materialise(pack_kmers(rows.join(found, ["__id", "__k"]), window), "packed")
     # one shuffle, by minimiser, serves the grouping of equal strings, too
     strings = packed.where("packed is not null").select("mini", "key", "packed", "__d").repartition("mini").groupBy("mini", "key", "packed").agg(F.min("__d").alias("doc"))
     runs = judge_buckets(strings.sortWithinPartitions("mini"), window)
+    placed = packed.where("key is not null").select("__d", "__k", "start", "key")
+    runs = materialise(runs.join(placed.groupBy("key").agg(F.count(F.lit(1)).alias("of")), "key"), "runs")
     later = F.filter("runs", lambda r: r["doc"] < F.col("__d"))
-    hits = packed.where("key is not null").select("__d", "__k", "start", "key").join(runs, "key").select("__d", "__k", "start", later.alias("later")).where(F.size("later") > 0)
+    hits = join_groups(placed, runs, ["key"], "of").select("__d", "__k", "start", later.alias("later")).where(F.size("later") > 0)
     spans = F.transform("later", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + F.lit(window - 1)).alias("b")))
     gone = hits.select("__d", "__k", spans.alias("spans"))
     if not shared.where("split").isEmpty():
         single = packed.where("windows is not null").select("__d", "__k", "start", F.posexplode("windows").alias("at", "window"))
-        first = single.groupBy("window").agg(F.min("__d").alias("doc"))
-        late = single.join(first, "window").where("doc < __d").withColumn("a", F.col("start") + F.col("at"))
+        first = materialise(single.groupBy("window").agg(F.min("__d").alias("doc"), F.max("__d").alias("last"), F.count(F.lit(1)).alias("of")).where("doc < last").select("window", "doc", "of"), "windows")
+        late = join_groups(single, first, ["window"], "of").where("doc < __d").withColumn("a", F.col("start") + F.col("at"))
         gone = gone.unionByName(late.select("__d", "__k", F.array(F.struct("a", (F.col("a") + F.lit(window)).alias("b"))).alias("spans")))
     gone = gone.groupBy("__d", "__k").agg(F.collect_list("spans").alias("gone"))
     gone = gone.select(F.col("__d").alias("__id"), "__k", "gone")
