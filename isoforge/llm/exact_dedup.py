@@ -33,15 +33,16 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise=lower_ascii, hash128=content_hash) -> DataFrame:
-    """A row for each row of docs: id_col, keep_id, group_size, kept, text_sha256.
+def digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
 
-    keep: "smallest" or "largest" id of the group stays. normalise, hash128: Column -> Column.
-    """
+
+def judged(docs: DataFrame, id_col: str, text_col: str, keep: str, normalise, hash128) -> DataFrame:
+    """A row for each id and text: __id, __h, __s (SHA-256), __copies (rows that repeat both), keep_id, group_size."""
     pick = {"smallest": F.min, "largest": F.max}[keep]
     text = normalise(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__t")).withColumn("__h", hash128(F.col("__t")))
-    sha = F.sha2(F.col("__t").cast("binary"), 256)
+    sha = digest(F.col("__t"))
 
     groups = rows.groupBy("__h", "__t").agg(pick("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select("__h", sha.alias("__s"), "keep_id", "group_size")
     # One row for each (hash, SHA-256), unless both collide for different bytes.
@@ -49,19 +50,31 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one = one.withColumn("group_size", F.when(F.col("__n") > 1, F.raise_error(F.lit("two texts share both hashes")).cast("long")).otherwise(F.col("group_size"))).drop("__n")
 
     light = rows.select("__id", "__h", sha.alias("__s")).groupBy("__id", "__h", "__s").agg(F.count(F.lit(1)).alias("__copies"))
-    joined = join_groups(light, materialise(one, "groups"), ["__h", "__s"], "group_size")
+    return join_groups(light, materialise(one, "groups"), ["__h", "__s"], "group_size")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise=lower_ascii, hash128=content_hash) -> DataFrame:
+    """A row for each row of docs: id_col, keep_id, group_size, kept, text_sha256.
+
+    keep: "smallest" or "largest" id of the group stays. normalise, hash128: Column -> Column.
+    """
     nth = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__nth")
-    out = joined.select("*", nth)
+    out = judged(docs, id_col, text_col, keep, normalise, hash128).select("*", nth)
     return out.select(F.col("__id").alias(id_col), "keep_id", "group_size", (F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__nth") == 1)).alias("kept"), F.col("__s").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The rows of docs that stay, all columns."""
-    sha = F.sha2(lower_ascii(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"), 256)
-    stay = exact_dedup(docs, id_col, text_col, keep).where("kept").select(F.col(id_col).alias("__i"), F.col("text_sha256").alias("__s"))
-    rows = docs.withColumn("__s2", sha)
-    kept = rows.join(stay, rows[id_col].eqNullSafe(stay["__i"]) & (rows["__s2"] == stay["__s"]), "left_semi")
-    return kept.dropDuplicates([id_col, "__s2"]).select(*docs.columns)
+    """The rows of docs that stay, all columns. Whole rows are shuffled once; only those that repeat id and text a second time."""
+    stay = materialise(judged(docs, id_col, text_col, keep, lower_ascii, content_hash).where(F.col("__id").eqNullSafe(F.col("keep_id"))).select("__id", "__s", "__copies"), "stay")
+    # all columns of docs travel as one, so that no name of theirs clashes
+    whole = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("row")
+    rows = docs.select(F.col(id_col).alias("i"), digest(lower_ascii(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("s"), whole)
+    kept = rows.join(stay, F.col("i").eqNullSafe(F.col("__id")) & (F.col("s") == F.col("__s")))
+    repeated = F.col("__copies") > 1
+    out = kept.where(~repeated).select("row")
+    if not stay.where(repeated).isEmpty():
+        out = out.unionByName(kept.where(repeated).dropDuplicates(["i", "s"]).select("row"))
+    return out.select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

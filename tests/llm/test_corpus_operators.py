@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isoforge.llm import exact_dedup, jaccard_join, packing, registry, source_mixing, substring_dedup, token_counts
 from isoforge.llm.components import components
-from tests.llm.conftest import ODD
+from tests.llm.conftest import CLASHES, ODD
 from tests.llm.helpers import exact_groups, near_components, substrings
 
 
@@ -92,6 +92,53 @@ def test_substrings_odd(odd, nothing, spark):
 # 5: near copies
 
 
+@pytest.mark.parametrize("steer", [{}, {"LOOKED": 9}, {"FEW": 2, "LOOKED": 2}, {"SHARED": 1}, {"SHARED": 3, "PAIRED": 0}, {"SHARED": 40}])
+@pytest.mark.parametrize("length", [12, 60, 160])
+def test_candidates_hold_every_link_whatever_steers_them(monkeypatch, steer, length):
+    for name, value in steer.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    known = jaccard_join.WordHashes()
+    sets = {}
+    for _, t in edited(160, length, length):
+        s = jaccard_join.text_set((t or "").encode(), known)
+        if len(s):
+            sets[jaccard_join.digests(s)[0]] = s
+    token, node, n, p = [], [], [], []
+    for k, s in sets.items():
+        first = s[: len(s) - (4 * len(s) + 4) // 5 + jaccard_join.SHARED]
+        token += first.tolist()
+        node += [k] * len(first)
+        n += [len(s)] * len(first)
+        p += range(len(first))
+    got = jaccard_join.candidates(np.array(token, np.uint64), np.array(node), np.array(n), np.array(p))
+    root = {k: k for k in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, na, b, nb, star, times in zip(*(x.tolist() for x in got), strict=True):
+        if star or times >= min(jaccard_join.SHARED, (4 * (na + nb) + 8) // 9):
+            root[find(a)] = find(b)
+    links = 0
+    for a, x in sets.items():
+        for b, y in sets.items():
+            o = len(np.intersect1d(x, y))
+            if a < b and 100 * o >= 80 * (len(x) + len(y) - o):
+                links += 1
+                assert find(a) == find(b)
+    assert links > 3
+
+
+@pytest.mark.parametrize("limit", [1, 60, 10**6])
+def test_buckets_change_no_result(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "BUCKET_ENTRIES", limit)
+    docs = edited(150, 13, 40)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(frame(spark, docs)).collect())
+    assert got == near_components(docs)
+
+
 @pytest.mark.parametrize("limits", [{}, {"max_members": 3}, {"max_shingles": 300}])
 def test_jaccard_matches_brute_force(spark, limits):
     docs = edited(260, 11)
@@ -130,8 +177,24 @@ def test_jaccard_odd(spark, odd, nothing):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(odd).collect())
     assert got == near_components(ODD)
     assert jaccard_join.jaccard_join(nothing).count() == 0
-    one = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(frame(spark, [(None, "a b c d e f"), (9, "a b c d e f"), (None, "z")])).collect()}
-    assert one[9] == 9
+    rows = frame(spark, [(None, "a b c d e f"), (9, "a b c d e f"), (None, "z"), (None, "z"), (None, None), (None, "q r s t u v")])
+    got = jaccard_join.jaccard_join(rows).collect()
+    # a copy of a document with an id belongs to it; other rows without an id stay apart
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == [(0, 0, 0), (0, 1, 0), (0, 1, 0), (0, 2, 0), (0, 2, 9), (9, 2, 9)]
+    assert sorted((r.doc_id or 0, r.text or "") for r in jaccard_join.drop_near_copies(rows).collect()) == [(0, ""), (0, "q r s t u v"), (0, "z"), (0, "z"), (9, "a b c d e f")]
+
+
+@pytest.mark.parametrize("block", [1, 7, 2000])
+def test_star_pairs_match_brute_force(spark, block):
+    rng = random.Random(block)
+    stars = [(100 * c, 100 * c + i, rng.randrange(20, 30), rng.randrange(10, 21), rng.randrange(5), rng.randrange(5)) for c in range(3) for i in range(1, 40)]
+    got = jaccard_join.star_pairs(spark.createDataFrame(stars, "a long, b long, nb int, o int, r long, rc long"), block).collect()
+    want = set()
+    for c, x, nx, ox, rx, rc in stars:
+        for c2, z, nz, oz, rz, _ in stars:
+            if c == c2 and rx != rc and rx != rz and 5 * min(nx, nz) >= 4 * max(nx, nz) and 9 * (min(ox, oz) + min(nx - ox, nz - oz)) >= 4 * (nx + nz):
+                want.add((min((x, nx), (z, nz)), max((x, nx), (z, nz))))
+    assert {((r.a, r.na), (r.b, r.nb)) for r in got} == want and len(got) == len(want) > 50
 
 
 def test_components(spark):
@@ -320,6 +383,7 @@ def test_stages_on_odd_tables(spark, odd, nothing, number):
     ids = {r.doc_id for r in rows}
     if number < 4:
         assert got.columns == odd.columns
+        assert all(r[c] == c for r in rows for c in CLASHES)  # no column of the caller's is written over
     if name == "toxicity":
         assert len(rows) == len(ODD)  # nothing here is toxic
     if name == "exact_dedup":

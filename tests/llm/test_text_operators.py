@@ -48,6 +48,22 @@ def test_op1_on_table(spark, sf_dir, small):
         assert not (r.kept and r.base_failed)
 
 
+def test_op1_verdict_matches_brute_force():
+    rng = random.Random(8)
+    kept = []
+    for _ in range(120):
+        ws = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 200))]
+        passage = ws[5 : 5 + rng.choice([0, 2, 12, 30, 31, 45])]
+        for _ in range(rng.choice([0, 1, 1, 3])):
+            ws += passage + [f"x{rng.randrange(10**6)}" for _ in range(rng.choice([1, 60]))]
+        got = suffix_repeats.measure([" ".join(ws).encode()], False, suffix_repeats.MAX_COVERED, suffix_repeats.MAX_LONGEST)
+        covered, longest, _ = repeated(ws)
+        failed = len(ws) < 50 or 100 * covered > 50 * len(ws)
+        kept.append((failed, not failed and covered <= 0.48 * len(ws) and longest <= 30))
+        assert (bool(got["base_failed"][0]), bool(got["kept"][0])) == kept[-1]
+    assert len(set(kept)) == 3 and sum(not f and not k for f, k in kept) > 9  # the verdict rejects what the base rule lets by
+
+
 def test_op1_odd(odd, nothing):
     got = suffix_repeats.suffix_repetition(odd).collect()
     assert len(got) == len(ODD)
@@ -324,7 +340,7 @@ def test_distances_match_plain_compression():
         for w in cut:
             sizes = []
             for content in (ordinary, toxic + ordinary):
-                p = toxicity.zstd.ZstdCompressionParameters.from_level(3, source_size=200, dict_size=len(ordinary) + len(toxic), min_match=4, strategy=toxicity.zstd.STRATEGY_BTULTRA2, write_content_size=False, write_dict_id=False, write_checksum=False)
+                p = toxicity.zstd.ZstdCompressionParameters.from_level(3, source_size=200, dict_size=len(ordinary) + len(toxic), **toxicity.SEARCH)
                 d = toxicity.zstd.ZstdCompressionDict(content, dict_type=toxicity.zstd.DICT_TYPE_RAWCONTENT)
                 sizes.append(len(toxicity.zstd.ZstdCompressor(dict_data=d, compression_params=p).compress(w.encode())))
             saved.append(sizes[0] - sizes[1])
