@@ -15,7 +15,7 @@ learned from, and TRAIN_BYTES of their texts: whole texts where they fit, otherw
 length with which all fit, in PIECES pieces spread evenly over the text, so no row is left out for its own or another
 row's length. An ordinary dictionary has 1 / ORDINARY_PART of the bytes it is trained on, MAX_DICT at most, and the
 toxic one 1 / TOXIC_PART of the ordinary one's size. These are the bounds, and every text is scored whole. The model
-(the dictionaries, 3.3 MB at most, and some fifty numbers) goes to the tasks with the function.
+(the dictionaries, 1.7 MB at most, and some fifty numbers) goes to the tasks with the function.
 
 Defined results: null and empty texts have no window and get the curves' value at no evidence, as any
 clean text; a label that is null isn't learned from, of repeated labels of an id the largest counts, of repeated
@@ -46,17 +46,19 @@ TRAIN_BYTES = 16_000_000
 PIECES = 16
 #: Every so many-th learned row is kept for the last calibration.
 CALIBRATE = 5
-PAIRS = 6
+PAIRS = 3
 WINDOW = 10
 #: A window is held against thresholds of 1 to so many bytes saved.
 STEPS = 5
 ORDINARY_PART = 30
-TOXIC_PART = 24
+TOXIC_PART = 32
 MAX_DICT = 524_288
 #: Length of the segments that a dictionary is made of, and of the sequences whose frequency chooses them.
 ORDINARY_COVER = (64, 8)
 TOXIC_COVER = (16, 6)
 THRESHOLD = 0.3
+#: The short chains of this level reach toxic content only where nearer ordinary content has none like it.
+SEARCH = {"min_match": 4, "strategy": zstd.STRATEGY_BTOPT, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
 #: A long text is cut into words piece by piece.
 SLICE = 1 << 20
 PUNCTUATION = re.compile(rb"[!-/:-@\[-`{-~]+")
@@ -111,7 +113,7 @@ def train(size: int, samples: list[bytes], cover: tuple[int, int]) -> bytes:
 def compressors(ordinary: bytes, toxic: bytes) -> tuple:
     """Compressors with the ordinary dictionary, and with the toxic one behind it (what comes last is nearest)."""
     size = len(ordinary) + len(toxic)
-    p = zstd.ZstdCompressionParameters.from_level(3, source_size=200, dict_size=size, min_match=4, strategy=zstd.STRATEGY_BTULTRA2, write_content_size=False, write_dict_id=False, write_checksum=False)
+    p = zstd.ZstdCompressionParameters.from_level(3, source_size=200, dict_size=size, **SEARCH)
     out = []
     for content in (ordinary, toxic + ordinary):
         d = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
