@@ -18,7 +18,7 @@ from isoforge.operators.extract import EXISTENCE, existence_code, parse_entries
 from isoforge.operators.isoforms import isoform_key, isoform_rows, missing_isoforms, output_rows
 from isoforge.operators.sinks import species_of
 from isoforge.plans import analytics
-from isoforge.sources.entries import ROW_TAG, SCHEMA
+from isoforge.sources.entries import parse_xml
 from isoforge.sources.fasta import fasta_key
 
 CANONICAL = "ACDEFGHIKLMNPQRSTVWY" * 3
@@ -64,7 +64,7 @@ def cases(c: str, values: dict, other: str) -> str:
     return f"CASE {c} " + " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in values.items()) + f" ELSE {other} END"
 
 
-FEATURES = f"""feat AS (SELECT l_orderkey AS row_key,
+FEATURES = f"""feat AS MATERIALIZED (SELECT l_orderkey AS row_key,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord,
   {cases("l_returnflag", KINDS, "'domain'")} AS feature_type,
   {cases("split_part(p_name, ' ', 2)", WORDING, "p_name")} AS description,
@@ -75,7 +75,7 @@ FEATURES = f"""feat AS (SELECT l_orderkey AS row_key,
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 # The edits of each order's isoform, with their residue lengths worked out; ord keeps equal begins apart.
-EDITS = """edit AS (SELECT row_key, ord, start AS b, edit_end AS e, gone, CASE WHEN gone THEN 0 ELSE len END - (edit_end - start + 1) AS d FROM (
+EDITS = """edit AS MATERIALIZED (SELECT row_key, ord, start AS b, edit_end AS e, gone, CASE WHEN gone THEN 0 ELSE len END - (edit_end - start + 1) AS d FROM (
   SELECT *, (edit_type = 'splice variant' AND len <= 0) OR contains(lower(coalesce(variation, '')), 'missing') AS gone FROM (
     SELECT *, CASE WHEN regexp_full_match(trim(coalesce(variation, '')), '[A-Za-z]+') THEN length(trim(variation)) ELSE 0 END AS len FROM feat WHERE ord IN (1, 3, 4) AND start > 0 AND edit_end >= start))
   WHERE gone OR len > 0)"""
@@ -83,9 +83,10 @@ EDITS = """edit AS (SELECT row_key, ord, start AS b, edit_end AS e, gone, CASE W
 
 def mapped_sql(points: str) -> str:
     """points: a CTE (row_key, ord, pos) with one row for each point; gives mapped (row_key, ord, pos, mapped, code)."""
-    return f"""hit AS (SELECT p.row_key, p.ord, p.pos, min({{'b': e.b, 'ord': e.ord}}) AS f FROM {points} p JOIN edit e ON e.row_key = p.row_key AND p.pos BETWEEN e.b AND e.e GROUP BY ALL),
-  moved AS (SELECT p.row_key, p.ord, p.pos, h.f, coalesce(sum(e.d), 0) AS shift FROM {points} p LEFT JOIN hit h USING (row_key, ord, pos)
-    LEFT JOIN edit e ON e.row_key = p.row_key AND e.e < p.pos AND (h.f IS NULL OR {{'b': e.b, 'ord': e.ord}} < h.f) GROUP BY ALL),
+    return f"""near AS MATERIALIZED (SELECT p.row_key, p.ord, p.pos, e.b, e.e, e.d, e.ord AS edit FROM {points} p LEFT JOIN edit e ON e.row_key = p.row_key),
+  hit AS MATERIALIZED (SELECT row_key, ord, pos, min({{'b': b, 'ord': edit}}) FILTER (WHERE pos BETWEEN b AND e) AS f FROM near GROUP BY ALL),
+  moved AS MATERIALIZED (SELECT n.row_key, n.ord, n.pos, h.f, coalesce(sum(CASE WHEN n.e < n.pos AND (h.f IS NULL OR {{'b': n.b, 'ord': n.edit}} < h.f) THEN n.d END), 0) AS shift
+    FROM near n JOIN hit h USING (row_key, ord, pos) GROUP BY ALL),
   judged AS (SELECT m.*, e.gone, e.d, e.b FROM moved m LEFT JOIN edit e ON e.row_key = m.row_key AND e.ord = m.f.ord AND e.b = m.f.b),
   coded AS (SELECT *, CASE WHEN pos <= 0 THEN 'VSP_UNRESOLVABLE' WHEN f IS NULL AND pos + shift <= 0 THEN 'MAPPER_OOB' WHEN f IS NULL THEN NULL WHEN gone THEN 'VSP_DELETION_EVENT'
     WHEN (d = 0 OR pos = b) AND pos + shift <= 0 THEN 'MAPPER_OOB' WHEN d = 0 OR pos = b THEN NULL ELSE 'VSP_UNRESOLVABLE' END AS code FROM judged),
@@ -270,8 +271,8 @@ def xml_text(spark, sf_dir) -> DataFrame:
     return entry_rows(spark, sf_dir).select(xml.alias("xml"))
 
 
-def xml_rows(spark, sf_dir) -> DataFrame:
-    raw = xml_text(spark, sf_dir).select(F.from_xml("xml", SCHEMA, {"rowTag": ROW_TAG}).alias("x")).select("x.*")
+def xml_rows(spark, sf_dir, columns: list[str] | None = None) -> DataFrame:
+    raw = parse_xml(xml_text(spark, sf_dir), "xml", columns=columns)
     return output_rows(isoform_rows(parse_entries(raw), None))
 
 
@@ -282,7 +283,87 @@ def xml_roundtrip(spark, sf_dir):
 
 def interaction_pairs(spark, sf_dir):
     text = lambda x: F.concat(x["interactant_id_1"], F.lit("-"), F.coalesce(x["interactant_id_2"], F.lit("")), F.lit(":"), x["evidence_code"])
-    return xml_rows(spark, sf_dir).select("id", F.array_join(F.transform("interactions", text), ";").alias("pairs"))
+    return xml_rows(spark, sf_dir, ["accession", "comment", "evidence"]).select("id", F.array_join(F.transform("interactions", text), ";").alias("pairs"))
+
+
+def table_sites(spark, sf_dir):
+    """Sites of the table that entries were parsed into, from its nested features."""
+    return analytics.sites(analytics.flat_features(xml_rows(spark, sf_dir, ["accession", "sequence", "feature", "evidence"])))
+
+
+def table_spectrum(spark, sf_dir):
+    flat = analytics.flat_features(xml_rows(spark, sf_dir, ["accession", "sequence", "feature", "evidence"]))
+    return analytics.modification_spectrum(flat, 20).withColumn("ratio", F.round("ratio", 6))
+
+
+CHAIN = "ACDEFGHIKLMNPQRSTVWY"
+#: CHAIN without the two residues that the splice variant of a customer's second isoform deletes.
+SHORT = CHAIN[:2] + CHAIN[4:]
+
+
+def customer_xml(spark, sf_dir) -> DataFrame:
+    """Each customer as an entry that has every element which is read; what it has of them depends on its key."""
+    k = F.col("c_custkey")
+    text = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    some = lambda when, *parts: F.when(when, text(*parts)).otherwise(F.lit(""))
+    at = k % 10 + 6
+    span = lambda a, b: text('<location><begin position="', a, '"/><end position="', b, '"/></location>')
+    point = lambda a: text('<location><position position="', a, '"/></location>')
+    feature = lambda kind, more, inner: text(f'<feature type="{kind}" id="', k, f'" description="{kind} of it"{more}>', inner, "</feature>")
+    kinds = pick(k % 6, dict(enumerate(EXISTENCE)), F.lit("unheard of"))
+    xml = text(
+        "<entry><accession>C", k, "</accession>", some(k % 5 == 0, "<accession>X", k, "</accession>"), "<name>", F.col("c_name"), "</name>",
+        '<protein><recommendedName><fullName evidence="E1">Beta<sub>', k % 7, "</sub> <i>sub</i>unit &amp; co</fullName></recommendedName>", some(k % 3 == 1, "<alternativeName><fullName>Other</fullName></alternativeName>"), "</protein>",
+        some(k % 4 > 0, '<gene><name type="synonym">S', k, '</name><name type="primary">G', k % 11, "</name></gene>"),
+        '<organism><name type="scientific">Genus <b>no</b> ', F.col("c_nationkey"), '</name><name type="common">N</name>', some(k % 6 > 0, '<dbReference type="NCBI Taxonomy" id="', F.col("c_nationkey") + 9600, '"/>'), "</organism>",
+        some(k % 8 > 0, '<comment type="subcellular location"><subcellularLocation><location evidence="E1 E2">Outer <i>mem</i>brane ', k % 3, "</location><location>Cytosol</location></subcellularLocation></comment>"),
+        '<comment type="subunit" evidence="E2">', pick(k % 4, {2: "<text> </text>"}, text("<text", some(k % 4 == 1, ' evidence="E1"'), "> Binds <i>abc</i> ", k % 9, "<!-- note --> tightly. </text>")), "</comment>",
+        some(k % 3 == 0, '<comment type="alternative products"><isoform><id>C', k, '-1</id><sequence type="displayed"/><note>first <i>one</i></note></isoform><isoform><id>C', k, '-2</id><sequence type="described" ref="VSP_', k, '"/></isoform></comment>'),
+        '<dbReference type="PDB" id="P', k % 13, '"/><dbReference type="EMBL" id="E"/>', some(k % 2 == 0, '<dbReference type="AlphaFoldDB" id="A', k, '"/>'),
+        '<proteinExistence type="', kinds, '"/>',
+        feature("domain", ' evidence="E1"', span(at, at + 2)), feature("domain", "", span(F.lit(19), F.lit(25))), feature("active site", ' evidence="E2"', point(at)), feature("binding site", "", span(at, at + 1)),
+        feature("metal ion-binding site", ' evidence="E9"', point(F.lit(2))), feature("mutagenesis site", ' evidence="E1 E2"', text("<original>A</original><variation>G</variation>", span(at + 3, at + 3))),
+        feature("sequence variant", "", text("<original>A<i>B</i></original><variation>C</variation><variation>D<sup>2</sup></variation>", span(F.lit(1), F.lit(1)))),
+        some(k % 3 == 0, '<feature type="splice variant" id="VSP_', k, '">', span(F.lit(3), F.lit(4)), "</feature>"),
+        f'<evidence key="E1" type="ECO:0000269"/><evidence key="E2" type="ECO:0000250"/><sequence length="20">{CHAIN[:9]}\n {CHAIN[9:]}</sequence></entry>',
+    )
+    return read(spark, sf_dir, "customer").select(xml.alias("xml"))
+
+
+def customer_rows(spark, sf_dir) -> DataFrame:
+    """The table of customer_xml. The sidecar has both isoforms, but of every third customer with isoforms only the first."""
+    own = read(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.concat(F.lit("C"), "c_custkey").alias("c"), (F.col("c_custkey") % 9 == 0).alias("few"))
+    sequences = F.array(F.struct(F.concat("c", F.lit("-1")).alias("i"), F.lit(CHAIN).alias("s")), F.when(~F.col("few"), F.struct(F.concat("c", F.lit("-2")).alias("i"), F.lit(SHORT).alias("s"))))
+    side = own.select(F.explode(F.array_compact(sequences)).alias("x")).select(F.col("x.i").alias("fasta_id"), F.col("x.s").alias("fasta_sequence"))
+    return output_rows(isoform_rows(parse_entries(parse_xml(customer_xml(spark, sf_dir), "xml")), side))
+
+
+def listed(column: str, *names: str) -> Column:
+    """The named fields of a list's elements as text."""
+    part = lambda x, n: F.coalesce((F.round(x[n] * 10).cast("int") if n == "confidence_score" else x[n]).cast("string"), F.lit("-"))
+    return F.array_join(F.transform(column, lambda x: F.concat_ws("|", *(part(x, n) for n in names))), ";").alias(column)
+
+
+def xml_metadata(spark, sf_dir):
+    return customer_rows(spark, sf_dir).select("id", "parent_id", "entry_name", "protein_name", "gene_name", "organism_name", "organism_id", F.col("existence").cast("int").alias("existence"), listed("structures", "db", "id"))
+
+
+def xml_nested_text(spark, sf_dir):
+    """Text with tags nested in it is read whole: protein names, locations, subunits, variants, notes of isoforms."""
+    return customer_rows(spark, sf_dir).select("id", "protein_name", "organism_name", listed("location", "location", "evidence_code"), listed("subunits", "text", "evidence_code", "confidence_score"), listed("natural_variants", "original", "variation"))
+
+
+def xml_isoforms(spark, sf_dir):
+    return customer_rows(spark, sf_dir).select("id", "parent_id", "sequence", listed("isoforms", "isoform_id", "isoform_sequence", "isoform_note"), F.size("features").alias("features"))
+
+
+def xml_routed_lists(spark, sf_dir):
+    """The six lists that features are routed to, mapped onto each isoform."""
+    place = ("id", "description", "start", "end", "evidence_code", "confidence_score")
+    return customer_rows(spark, sf_dir).select(
+        "id", listed("active_sites", *place), listed("binding_sites", *place), listed("metal_coordinations", "metal", *place), listed("mutagenesis_sites", *place),
+        listed("domains", "domain_name", *place), listed("natural_variants", "original", "variation", *place),
+    )
 
 
 def point_lookup(spark, sf_dir):
@@ -292,7 +373,8 @@ def point_lookup(spark, sf_dir):
 QUERIES = [
     taxa_split, evidence_breakdown, evidence_buckets, ptm_spectrum, spectrum_totals, mod_sites, presence, cooccurrence, exact_overlap, overlap_examples, proximity_semi, site_evidence,
     coord_map_point, coord_map_range, edit_totals, evidence_resolve, confidence_max, isoform_explode_join, isoform_missing, ptm_validate, ptm_site_nest, run_counters, aa_clean_len,
-    residue_lookup, description_kinds, fasta_keys, isoform_keys, existence_codes, xml_roundtrip, interaction_pairs, point_lookup,
+    residue_lookup, description_kinds, fasta_keys, isoform_keys, existence_codes, xml_roundtrip, interaction_pairs, table_sites, table_spectrum,
+    xml_metadata, xml_nested_text, xml_isoforms, xml_routed_lists, point_lookup,
 ]
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from isoforge.operators.extract import EXISTENCE
-from isoforge.plans.catalog import CANONICAL, EDITS, FEATURES, ISOFORM, PRIORITIES, cases, mapped_sql
+from isoforge.plans.catalog import CANONICAL, CHAIN, EDITS, FEATURES, ISOFORM, PRIORITIES, SHORT, cases, mapped_sql
 
 OGLCNAC = "(contains(lower(feature_type), 'glyc') OR feature_type = 'modified residue') AND description IS NOT NULL AND (contains(lower(description), 'glcnac') OR contains(lower(description), 'n-acetylglucosamine'))"
 PHOSPHO = "feature_type = 'modified residue' AND contains(lower(description), 'phospho')"
@@ -36,6 +36,13 @@ JUDGED = f"""{FEATURES}, {EDITS}, points AS (SELECT row_key, ord, place AS pos F
     FROM feat f JOIN mapped m ON m.row_key = f.row_key AND m.ord = f.ord WHERE feature_type IN ('modified residue', 'glycosylation site', 'cross-link') AND place > 0),
   fate AS (SELECT *, CASE WHEN place > {len(CANONICAL)} THEN 'CANONICAL_OOB' WHEN why IS NOT NULL THEN why WHEN spot > {len(ISOFORM)} THEN 'ISOFORM_OOB' WHEN substr('{ISOFORM}', spot, 1) <> own THEN 'RESIDUE_MISMATCH' END AS code, {CODE.format("")} AS mod_type FROM tried)"""
 
+# The table's features as xml_roundtrip has them: place as start, and the evidence that an item's two keys resolve to.
+PARSED = f"""{FEATURES}, flat AS (SELECT 'P' || row_key AS row_key, ord, feature_type, description, place, 'ECO:0000269' || (CASE ord WHEN 1 THEN ';ECO:0000269' WHEN 2 THEN ';ECO:0007744' ELSE '' END) AS evidence_code FROM feat)"""
+# The rows of customer_rows: the number of an isoform (0: the entry has none) and how far its residues behind the splice variant move.
+ENTRIES = f"""entry AS (SELECT *, c_custkey AS k, c_custkey % 10 + 6 AS a FROM customer),
+  made AS (SELECT *, 0 AS iso, 0 AS shift, 'C' || k AS id, '{CHAIN}' AS seq FROM entry WHERE k % 3 <> 0 UNION ALL SELECT *, 1, 0, 'C' || k || '-1', '{CHAIN}' FROM entry WHERE k % 3 = 0
+    UNION ALL SELECT *, 2, -2, 'C' || k || '-2', '{SHORT}' FROM entry WHERE k % 3 = 0 AND k % 9 <> 0)"""
+
 
 def oracle_sql() -> dict[str, str]:
     residue = "CASE WHEN regexp_full_match(trim({0}), '[A-Za-z]+') THEN length(trim({0})) ELSE 0 END"
@@ -73,5 +80,11 @@ def oracle_sql() -> dict[str, str]:
         "existence_codes": f"SELECT o_orderkey, coalesce({existence}, 0)::INT AS existence FROM orders",
         "xml_roundtrip": f"WITH {FEATURES} SELECT 'P' || row_key AS id, 'ACDEFGHIKLMNPQRSTVWY' AS sequence, 9606 AS organism_id, string_agg(feature_type || '|' || description || '|' || place || '|' || 'ECO:0000269' || (CASE ord WHEN 1 THEN ';ECO:0000269' WHEN 2 THEN ';ECO:0007744' ELSE '' END), ';' ORDER BY ord) AS features, count(*) FILTER (WHERE feature_type = 'domain' AND place BETWEEN 1 AND 20)::INT AS domains, count(DISTINCT CASE WHEN feature_type <> 'domain' AND place BETWEEN 1 AND 20 THEN place END)::INT AS sites FROM feat GROUP BY row_key",
         "interaction_pairs": f"WITH {FEATURES}, p AS (SELECT row_key, (ord - 1) // 2 AS g, max(CASE WHEN ord % 2 = 1 THEN 'S' || l_suppkey END) AS a, max(CASE WHEN ord % 2 = 0 THEN 'S' || l_suppkey END) AS b FROM feat GROUP BY 1, 2) SELECT 'P' || row_key AS id, string_agg(a || '-' || coalesce(b, '') || ':ECO:0000269', ';' ORDER BY g) AS pairs FROM p GROUP BY row_key",
+        "table_sites": f"WITH {PARSED}, each AS (SELECT *, 'phospho' AS kind FROM flat WHERE {PHOSPHO} UNION ALL SELECT *, 'oglcnac' AS kind FROM flat WHERE {OGLCNAC}) SELECT row_key, place AS position, kind, arg_max({ACID}, ord) AS amino_acid, arg_max(evidence_code, ord) AS evidence FROM each GROUP BY 1, 2, 3",
+        "table_spectrum": f"WITH {PARSED} SELECT {KIND} AS mod_type, count(*) AS total, count(*) AS experimental, 0::BIGINT AS non_experimental, 0::BIGINT AS unknown, 1.0::DOUBLE AS ratio FROM flat WHERE feature_type IN ('modified residue', 'glycosylation site') GROUP BY 1 HAVING count(*) >= 20",
+        "xml_metadata": f"WITH {ENTRIES} SELECT id, 'C' || k AS parent_id, c_name AS entry_name, 'Beta' || (k % 7) || ' subunit & co' AS protein_name, CASE WHEN k % 4 > 0 THEN 'G' || (k % 11) END AS gene_name, 'Genus no ' || c_nationkey AS organism_name, CASE WHEN k % 6 > 0 THEN (c_nationkey + 9600)::INT END AS organism_id, CASE WHEN k % 6 < 5 THEN (k % 6 + 1)::INT END AS existence, 'PDB|P' || (k % 13) || (CASE WHEN k % 2 = 0 THEN ';AlphaFoldDB|A' || k ELSE '' END) AS structures FROM made",
+        "xml_nested_text": f"WITH {ENTRIES} SELECT id, 'Beta' || (k % 7) || ' subunit & co' AS protein_name, 'Genus no ' || c_nationkey AS organism_name, CASE WHEN k % 8 > 0 THEN 'Outer membrane ' || (k % 3) || '|ECO:0000269;ECO:0000250;Cytosol|-' ELSE '' END AS location, CASE k % 4 WHEN 2 THEN '' ELSE 'Binds abc ' || (k % 9) || ' tightly.|' || (CASE k % 4 WHEN 1 THEN 'ECO:0000269|10' ELSE 'ECO:0000250|4' END) END AS subunits, 'AB|D2' AS natural_variants FROM made",
+        "xml_isoforms": f"WITH {ENTRIES} SELECT id, 'C' || k AS parent_id, seq AS sequence, CASE WHEN k % 3 = 0 THEN 'C' || k || '-1|-|first one;C' || k || '-2|-|-' ELSE '' END AS isoforms, (7 + (k % 3 = 0)::INT)::INT AS features FROM made",
+        "xml_routed_lists": f"WITH {ENTRIES}, p AS (SELECT id, k::VARCHAR AS k, (a + shift)::INT AS s FROM made) SELECT id, k || '|active site of it|' || s || '|' || s || '|ECO:0000250|4' AS active_sites, k || '|binding site of it|' || s || '|' || (s + 1) || '|-|1' AS binding_sites, '-|' || k || '|metal ion-binding site of it|2|2|-|1' AS metal_coordinations, k || '|mutagenesis site of it|' || (s + 3) || '|' || (s + 3) || '|ECO:0000269;ECO:0000250|10' AS mutagenesis_sites, 'domain of it|' || k || '|domain of it|' || s || '|' || (s + 2) || '|ECO:0000269|10' AS domains, 'AB|D2|' || k || '|sequence variant of it|1|1|-|1' AS natural_variants FROM p",
         "point_lookup": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (7, -1) LIMIT 1",
     }

@@ -7,13 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isoforge.operators.sinks import WriterOptions
 from isoforge.plans.etl import build_table
-from isoforge.sources.entries import ROW_TAG, SCHEMA
+from isoforge.sources.entries import ROW_TAG, entry_texts, parse_xml
 from isoforge.sources.tables import COLUMNS
 
 
 def stream_entries(spark: SparkSession, directory: str, files_per_batch: int = 64) -> DataFrame:
-    reader = spark.readStream.format("xml").option("rowTag", ROW_TAG).option("mode", "FAILFAST").option("pathGlobFilter", "*.{xml,xml.gz}")
-    return reader.option("maxFilesPerTrigger", files_per_batch).schema(SCHEMA).load(directory)
+    reader = spark.readStream.option("lineSep", f"<{ROW_TAG}").option("pathGlobFilter", "*.{xml,xml.gz}")
+    return parse_xml(entry_texts(reader.option("maxFilesPerTrigger", files_per_batch).text(directory)), "value")
 
 
 def stream_table(spark: SparkSession, directory: str, target: str, checkpoint: str, sidecar: DataFrame | None = None, strict: bool = False, options: WriterOptions = WriterOptions(), files_per_batch: int = 64) -> StreamingQuery:
