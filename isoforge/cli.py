@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-from isoforge.config import load_settings
+from isoforge.config import Settings, load_settings
 from isoforge.plans.etl import run
 
 
@@ -24,8 +25,20 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> dict[str, int]:
     a = parser().parse_args(argv)
     settings = load_settings(a.config).with_arguments(a.input, a.output, a.batch_size, a.fasta_sidecar).resolved()
-    spark = SparkSession.builder.appName("isoforge").getOrCreate()
-    return run(spark, settings, a.run_id)
+    return run(session(settings), settings, a.run_id)
+
+
+def session(settings: Settings) -> SparkSession:
+    """A session by the settings: what spark-submit sets wins over threads and folders given here."""
+    p, s = settings.performance, settings.storage
+    conf = SparkConf()
+    given = {"spark.local.dir": s.temp_dir, "spark.hadoop.io.file.buffer.size": str(p.buffer_size), "spark.reducer.maxReqsInFlight": str(p.channel_capacity)}
+    if p.thread_count > 1:
+        given["spark.master"] = f"local[{p.thread_count}]"
+    for key, value in given.items():
+        if not conf.contains(key):
+            conf.set(key, value)
+    return SparkSession.builder.appName("isoforge").config(conf=conf).getOrCreate()
 
 
 if __name__ == "__main__":

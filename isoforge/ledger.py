@@ -22,7 +22,8 @@ PREFIX = "run_"
 PROFILES = "profiles"
 # Names of a run's files, and thresholds of the diagnosis.
 REPORT, LOG, SNAPSHOT = "report.yaml", "etl.log", "config_snapshot.yaml"
-CHANNEL_HIGH, CHANNEL_LOW, CPU_HIGH, CPU_LOW = 0.9, 0.1, 0.7, 0.3
+CPU_HIGH, CPU_LOW = 0.7, 0.3
+LEVELS = {"trace": logging.DEBUG, "debug": logging.DEBUG, "info": logging.INFO, "warn": logging.WARNING, "error": logging.ERROR}
 
 
 def checked_run_id(raw: str) -> str:
@@ -75,10 +76,10 @@ def clean_up(runs_dir: str | Path, keep: int) -> list[str]:
     return [p.name for p in gone]
 
 
-def tee_logger(path: Path, name: str = "isoforge.run") -> logging.Logger:
+def tee_logger(path: Path, name: str = "isoforge.run", level: str = "info") -> logging.Logger:
     """To standard error and to the run's log, flushed line by line."""
     out = logging.getLogger(f"{name}.{path.parent.name}")
-    out.setLevel(logging.INFO)
+    out.setLevel(LEVELS.get(level.lower(), logging.INFO))
     out.propagate = False
     for handler in (logging.StreamHandler(sys.stderr), logging.FileHandler(path)):
         handler.setFormatter(logging.Formatter("%(message)s"))
@@ -133,27 +134,21 @@ def rss_mb() -> float:
         return 0.0
 
 
-class Fullness:
-    """Mean fill of a queue between two stages, as a share of its capacity."""
+def cpu_share(spark) -> float | None:
+    """The share of the time of the application's tasks in which they were on a core, by Spark's stage metrics; None before any."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    run = cpu = 0
+    for i in range(stages.size()):
+        run += stages.apply(i).executorRunTime()  # milliseconds
+        cpu += stages.apply(i).executorCpuTime()  # nanoseconds
+    return cpu / 1e6 / run if run else None
 
-    def __init__(self, capacity: int):
-        self.capacity, self.total, self.times = capacity, 0, 0
-        self._lock = threading.Lock()
 
-    def record(self, length: int) -> None:
-        with self._lock:
-            self.total, self.times = self.total + length, self.times + 1
-
-    def mean(self) -> float:
-        return self.total / (self.times * self.capacity) if self.times and self.capacity else 0.0
-
-
-def diagnose(fullness: float, cpu: float) -> dict[str, object]:
-    """Which side holds a run up: a full queue waits for the writer, an empty one for the parser."""
-    if fullness > CHANNEL_HIGH:
-        return {"bottleneck": "Writer", "confidence": 0.9}
-    if fullness < CHANNEL_LOW:
-        return {"bottleneck": "Parser", "confidence": 0.9}
+def diagnose(cpu: float | None) -> dict[str, object]:
+    """Which side holds a run up, by the share of their time in which tasks are on a core: parsing is work for cores, reading and writing waits."""
+    if cpu is None:
+        return {"bottleneck": "Unknown", "confidence": 0.0}
     if cpu > CPU_HIGH:
         return {"bottleneck": "Parser", "confidence": 0.7}
     if cpu < CPU_LOW:
@@ -161,6 +156,32 @@ def diagnose(fullness: float, cpu: float) -> dict[str, object]:
     return {"bottleneck": "Balanced", "confidence": 0.5}
 
 
+class Progress:
+    """Logs how far the running stages are, once an interval, while a run goes on."""
+
+    def __init__(self, spark, log: logging.Logger, interval: float):
+        self.tracker, self.log, self.interval = spark.sparkContext.statusTracker(), log, interval
+        self._stop = threading.Event()
+        self._thread = threading.Thread(target=self._run, daemon=True)
+
+    def lines(self) -> list[str]:
+        found = ((s, self.tracker.getStageInfo(s)) for s in self.tracker.getActiveStageIds())
+        return [f"stage {s}: {i.numCompletedTasks} of {i.numTasks} tasks, {i.numActiveTasks} running, {i.numFailedTasks} failed" for s, i in found if i]
+
+    def _run(self) -> None:
+        while not self._stop.wait(self.interval):
+            for line in self.lines():
+                self.log.info(line)
+
+    def __enter__(self) -> Progress:
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._stop.set()
+        self._thread.join(timeout=5)
+
+
 def environment() -> dict[str, object]:
     return {"os": platform.system(), "arch": platform.machine(), "cpus": os.cpu_count(), "hostname": platform.node(), "python": platform.python_version()}
 
@@ -183,12 +204,12 @@ class RunReport:
         Path(path).write_text(to_yaml(asdict(self)))
 
 
-def make_report(run: RunContext, counters: dict[str, int], sampler: ResourceSampler, error: str | None = None, failures: dict[str, str] | None = None) -> RunReport:
+def make_report(run: RunContext, counters: dict[str, int], sampler: ResourceSampler, error: str | None = None, failures: dict[str, str] | None = None, cpu: float | None = None) -> RunReport:
     now = datetime.now(UTC)
     seconds = (now - run.started).total_seconds()
     marks = sampler.high_water_marks()
     rate = counters.get("entries", 0) / seconds if seconds > 0 else 0.0
-    return RunReport(run.run_id, "Error" if error else "Success", run.started.isoformat(), now.isoformat(), error, performance={"elapsed_seconds": seconds, "entries_per_second": rate}, resources=marks, bottleneck=diagnose(0.5, marks["mean_cpu"]), counters=counters, failures=failures or {})
+    return RunReport(run.run_id, "Error" if error else "Success", run.started.isoformat(), now.isoformat(), error, performance={"elapsed_seconds": seconds, "entries_per_second": rate}, resources=marks, bottleneck=diagnose(cpu), counters=counters, failures=failures or {})
 
 
 def summary_lines(counters: dict[str, int], seconds: float) -> list[str]:
@@ -199,7 +220,7 @@ def summary_lines(counters: dict[str, int], seconds: float) -> list[str]:
     return lines
 
 
-def recorded(run: RunContext, work: Callable[[], dict[str, int]], on_log: logging.Logger | None = None) -> dict[str, int]:
+def recorded(run: RunContext, work: Callable[[], dict[str, int]], on_log: logging.Logger | None = None, cpu: Callable[[], float | None] = lambda: None) -> dict[str, int]:
     """Runs work and writes the report, whether work succeeds or not."""
     sampler = ResourceSampler().start()
     counters: dict[str, int] = {}
@@ -212,7 +233,7 @@ def recorded(run: RunContext, work: Callable[[], dict[str, int]], on_log: loggin
         raise
     finally:
         sampler.stop()
-        report = make_report(run, counters, sampler, error)
+        report = make_report(run, counters, sampler, error, cpu=cpu())
         report.save(run.report_path)
         for line in summary_lines(counters, report.performance["elapsed_seconds"]) if on_log else []:
             on_log.info(line)

@@ -4,7 +4,7 @@ import pytest
 
 from isoforge.config import Settings, load_settings
 from isoforge.errors import InvalidValueError, IoError, MissingFieldError
-from isoforge.ledger import Fullness, ResourceSampler, RunContext, checked_run_id, clean_up, diagnose, make_report
+from isoforge.ledger import Progress, ResourceSampler, RunContext, checked_run_id, clean_up, cpu_share, diagnose, make_report
 
 
 def test_run_ids():
@@ -36,12 +36,28 @@ def test_retention(tmp_path):
     assert clean_up(tmp_path / "none", 2) == []
 
 
-def test_diagnosis():
-    f = Fullness(10)
-    for n in (5, 7, 3):
-        f.record(n)
-    assert f.mean() == pytest.approx(0.5)
-    assert [diagnose(x, y)["bottleneck"] for x, y in ((0.95, 0), (0.0, 0), (0.5, 0.8), (0.5, 0.2), (0.5, 0.5))] == ["Writer", "Parser", "Parser", "Writer", "Balanced"]
+def test_diagnosis(spark):
+    assert [diagnose(x)["bottleneck"] for x in (0.8, 0.2, 0.5, None)] == ["Parser", "Writer", "Balanced", "Unknown"]
+    spark.range(100_000).selectExpr("sum(sqrt(id))").collect()
+    assert 0 < cpu_share(spark) < 1.5
+
+
+def test_progress(spark):
+    import logging
+    import time
+
+    class Held(logging.Handler):
+        lines: list[str] = []
+
+        def emit(self, record):
+            self.lines.append(record.getMessage())
+
+    log = logging.getLogger("progress")
+    log.setLevel(logging.INFO)
+    log.addHandler(Held())
+    with Progress(spark, log, 0.02):
+        spark.sparkContext.parallelize(range(4), 4).foreach(lambda _: time.sleep(0.5))
+    assert any("of 4 tasks" in x for x in Held.lines)
 
 
 def test_sampler_and_report(tmp_path):
