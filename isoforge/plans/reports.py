@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from isoforge.functions.modifications import shortened
 from isoforge.plans import analytics
 
 WIDTH = 40
@@ -12,8 +15,8 @@ WIDTH = 40
 def render(df: DataFrame, title: str, rows: int = 50) -> str:
     """The first rows of a small result, in columns."""
     cut = lambda v: (f"{v:.2f}" if isinstance(v, float) else "" if v is None else str(v))
-    short = lambda t: t if len(t) <= WIDTH else t[: WIDTH - 3] + "..."
-    table = [df.columns, *([short(cut(v)) for v in r] for r in df.limit(rows).collect())]
+    short = [shortened(F.col(f.name), WIDTH).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields]
+    table = [df.columns, *([cut(v) for v in r] for r in df.limit(rows).select(*short).collect())]
     widths = [max(len(r[i]) for r in table) for i in range(len(df.columns))]
     lines = ["  ".join(v.ljust(w) for v, w in zip(r, widths, strict=True)).rstrip() for r in table]
     return "\n".join([title, "=" * len(title), lines[0], "  ".join("-" * w for w in widths), *lines[1:]])

@@ -136,3 +136,28 @@ def test_cooccurrence(spark):
     assert {(r.kind, r.evidence): r.n for r in analytics.site_evidence(found).collect()}[("phospho", "ECO:0000269")] == 1
     empty = analytics.cooccurrence(found.limit(0)).first()
     assert empty.overlap_percent is None
+
+
+def test_shortened_and_stems(spark):
+    from isoforge.functions.modifications import shortened
+    from isoforge.sources.entries import stem
+
+    rows = spark.createDataFrame([("abcdef",), ("abc",), (None,)], "t string").select(shortened(F.col("t"), 5).alias("s")).collect()
+    assert [r.s for r in rows] == ["ab...", "abc", None]
+    assert [stem(x) for x in ("a/b.xml", "b.xml.gz", "b.gz", "b.c")] == ["b", "b", "b", "b.c"]
+
+
+def test_nested_markup(spark):
+    from isoforge.sources.entries import without_markup
+
+    cases = {
+        "<text>a <i>b</i> c</text>": "<text>a b c</text>",
+        '<text evidence="1">a<sub x="2">3</sub><br/></text>': '<text evidence="1">a3</text>',
+        "<location><position position='1'/></location>": "<location><position position='1'/></location>",
+        "<text>a &lt;b&gt; c</text>": "<text>a &lt;b&gt; c</text>",
+        "<note><![CDATA[x <i>y</i>]]> <i>z</i></note>": "<note><![CDATA[x <i>y</i>]]> z</note>",
+        "<text/><entry><i>kept: no text of ours</i></entry>": "<text/><entry><i>kept: no text of ours</i></entry>",
+        "<name>a<!-- <i> -->b</name>": "<name>ab</name>",
+    }
+    got = spark.createDataFrame([(k,) for k in cases], "x string").select("x", without_markup(F.col("x")).alias("y")).collect()
+    assert {r.x: r.y for r in got} == cases
