@@ -43,7 +43,7 @@ from isoforge.llm.skew import join_groups
 WINDOW = 50
 GRAM = 8
 RUN_WORDS = 1_000_000
-MAX_GROUP = 1000
+MAX_GROUP = 20_000
 #: Strings that a map task remembers to have sent (by digests of 16 bytes).
 SENT = 500_000
 LAST = 2**63 - 1

@@ -66,7 +66,7 @@ def test_substrings(spark, sf_dir, small):
     assert any(r[2] for r in got)
 
 
-@pytest.mark.parametrize("limit", [50_000, 3, 0])
+@pytest.mark.parametrize("limit", [substring_dedup.MAX_GROUP, 3, 0])
 def test_substrings_random(spark, limit):
     rng = random.Random(2)
     docs = [(rng.randrange(40), "".join(rng.choice(["a ", "b ", "c\n", "d\t"]) for _ in range(rng.randrange(0, 60)))) for _ in range(60)]
@@ -326,6 +326,54 @@ def test_raking_meets_targets(spark):
     assert sum(r.tokens * r.keep_probability for r in got) == pytest.approx(0.2 * sum(r.tokens for r in got), rel=1e-6)
 
 
+def bounded_raking(cells, targets, budget, sweeps):
+    """Plain version: cells (values..., tokens); targets: for each place of the values, value -> tokens."""
+    m = [budget * c[-1] / sum(c[-1] for c in cells) for c in cells]
+    for _ in range(sweeps):
+        for k, target in enumerate(targets):
+            sums = {}
+            for c, x in zip(cells, m, strict=True):
+                sums[c[k]] = sums.get(c[k], 0.0) + x
+            m = [min(c[-1], x * target[c[k]] / sums[c[k]]) if sums[c[k]] else 0.0 for c, x in zip(cells, m, strict=True)]
+    return m
+
+
+def test_mixing_to_given_weights(spark):
+    rng = random.Random(3)
+    docs = [(i, "x" * rng.randrange(40, 400), rng.choice("aaab"), rng.choice(["en", "en", "de"]), rng.choice("pqr")) for i in range(900)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, kind string")
+    weights = {"source": {"a": 1, "b": 1}, "lang": {"en": 2, "de": 1}, "topic": {"p": 5, "q": 1}}
+    got = source_mixing.mix_sources(df, topic="kind", weights=weights, keep_fraction=0.3, sweeps=40).collect()
+    cells = {}
+    for r in got:
+        assert r.tokens == -(-len(docs[r.doc_id][1]) // 4) and r.topic == docs[r.doc_id][4]
+        cells[r.source, r.lang, r.topic] = cells.get((r.source, r.lang, r.topic), 0) + r.tokens
+    budget = 0.3 * sum(cells.values())
+    have = lambda k, v: sum(t for c, t in cells.items() if c[k] == v)
+    share = lambda w: {v: budget * x / sum(w.values()) for v, x in w.items()}
+    targets = [share(weights["source"]), share(weights["lang"]), {**share(weights["topic"]), "r": 0.0}]
+    for k, t in enumerate(targets):
+        over = {v for v in t if t[v] > have(k, v)}
+        left = budget - sum(have(k, v) for v in over)
+        free = sum(t[v] for v in t if v not in over)
+        targets[k] = {v: have(k, v) if v in over else min(have(k, v), t[v] * left / free) for v in t}
+    keys = list(cells)
+    want = dict(zip(keys, bounded_raking([(*c, cells[c]) for c in keys], targets, budget, 40), strict=True))
+    for r in got:
+        assert r.keep_probability == pytest.approx(want[r.source, r.lang, r.topic] / cells[r.source, r.lang, r.topic], abs=1e-9)
+    report = source_mixing.reached(df, topic="kind", weights=weights, keep_fraction=0.3, sweeps=40).collect()
+    assert len(report) == 7 and all(abs(r.reached - (r.allowed + r.residual)) < 1e-12 for r in report)
+    assert {r.value: round(r.asked, 4) for r in report if r.dim == "topic"} == {"p": 0.8333, "q": 0.1667, "r": 0.0}
+
+
+def test_bounded_targets_are_met_and_reported(spark):
+    sf = "/root/testdata/sf0.01"
+    report = source_mixing.reached(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    for d in source_mixing.DIMS:
+        assert sum(r.reached for r in report if r.dim == d) == pytest.approx(1, abs=0.01)
+    assert max(abs(r.residual) for r in report) < 0.01
+
+
 def test_mixing_odd(odd, nothing):
     got = source_mixing.mix_sources(odd).collect()
     assert len(got) == len(ODD) and all(0 <= r.keep_probability <= 1 for r in got)
