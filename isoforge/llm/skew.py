@@ -26,9 +26,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     own = rows.join(F.broadcast(hot), keys, "left")
     is_hot = F.col("__hot").isNotNull()
     # a hot row's key is replaced by one that no group has
-    spread = F.when(is_hot, -F.abs(F.xxhash64(*rows.columns) % 1_000_003) - 1).otherwise(F.lit(0))
+    spread = F.when(is_hot, -F.abs(F.xxhash64(*rows.columns) % 1_000_003) - 1).otherwise(F.lit(0).cast("long"))
     own = own.withColumn("__spread", spread)
-    cold = cold.withColumn("__none", F.lit(0).cast("long"))
+    # always 0, but no constant to the optimiser: a constant would make it a filter, and the shuffle go by the keys alone
+    cold = cold.withColumn("__none", F.pmod(F.xxhash64(*(f"__k{i}" for i in range(len(keys)))), F.lit(1).cast("long")))
     on = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)] + [F.col("__spread") == F.col("__none")]
     joined = own.join(cold, on, "left")
     found = F.coalesce("__hot", "__cold")

@@ -451,3 +451,10 @@ def test_groups_join_spreads_hot_keys(spark):
     got = {r.id: (r.size, r.least) for r in join_groups(rows, groups, ["k"], "size").collect()}
     assert got == {i: (1000, 0) if i % 3 == 0 else (1, i) for i in range(3000)}
     assert join_groups(rows.limit(0), groups.limit(0), ["k"], "size").count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        plan = join_groups(rows, groups, ["k"], "size")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rows are dealt out by the key and the number that spreads hot ones
+    assert any("hashpartitioning(k#" in line and "__spread#" in line for line in plan.split("\n"))
