@@ -1,14 +1,16 @@
 """Operators over the whole corpus: 4, 5, 7, 8, 9, components, and the pipeline."""
 
+import hashlib
 import random
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from isoforge.llm import exact_dedup, jaccard_join, packing, registry, source_mixing, substring_dedup, token_counts
+from isoforge.llm import exact_dedup, jaccard_join, packing, registry, source_mixing, substring_dedup, token_counts, toxicity
 from isoforge.llm.components import components
 from tests.llm.conftest import CLASHES, ODD
 from tests.llm.helpers import exact_groups, near_components, substrings
@@ -391,7 +393,43 @@ def test_mixing_is_native(spark, sf_dir):
 # pipeline
 
 
+def plain_mixing(docs):
+    """Ids that are sampled: (doc_id, text, source, lang) by the production settings, in plain Python."""
+    m = source_mixing
+
+    def topic(t):
+        if t is None:
+            return m.NONE
+        return next((name for mark, name in ((" | ", "table"), ("!! ", "shouting"), ("%%% ", "symbols"), ("&&& ", "symbols"), ("\n", "prose")) if mark in t), "snippet")
+
+    cells, cell_of = {}, []
+    for _, t, source, lang in docs:
+        c = (source or m.NONE, lang or m.NONE, topic(t))
+        cell_of.append(c)
+        cells[c] = cells.get(c, 0) + -(-len((t or "").encode()) // m.TOKEN_BYTES)
+    everything = sum(cells.values())
+    budget = m.KEEP_FRACTION * everything
+    targets = []
+    for k, d in enumerate(m.DIMS):
+        have = {}
+        for c, n in cells.items():
+            have[c[k]] = have.get(c[k], 0) + n
+        weight = {v: (n / everything) ** m.TEMPER[d] for v, n in have.items()}
+        want = {v: budget * w / sum(weight.values()) for v, w in weight.items()}
+        scale = 1.0
+        for _ in range(m.CAP_ROUNDS):
+            full = {v for v in want if want[v] * scale >= have[v]}
+            free = sum(want[v] for v in want if v not in full)
+            scale = max(scale, (budget - sum(have[v] for v in full)) / free) if free else scale
+        targets.append({v: min(have[v], want[v] * scale) for v in want})
+    keys = list(cells)
+    kept = dict(zip(keys, bounded_raking([(*c, cells[c]) for c in keys], targets, budget, m.SWEEPS), strict=True))
+    draw = lambda d: int(hashlib.md5(str(d).encode()).hexdigest()[:13], 16) / 2**52
+    return {d for (d, *_), c in zip(docs, cell_of, strict=True) if cells[c] and draw(d) < kept[c] / cells[c]}
+
+
 def test_pipeline(spark, small):
+    """Every stage against a plain version, on what the one before kept."""
     import corpus_pipeline
 
     sf = "/root/testdata/sf0.01"
@@ -399,18 +437,35 @@ def test_pipeline(spark, small):
     assert names == ["toxicity", "exact_dedup", "jaccard_join", "source_mixing", "packing"]
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns, counts = docs.columns, [docs.count()]
+    before = [(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf).cache()
         assert docs.columns == columns
-        counts.append(docs.count())
-        pairs = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        rows = [(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()]
+        got = sorted(r[0] for r in rows)
+        if name == "toxicity":
+            labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist() if r["toxic"] is not None}
+            text = {d: t for d, t, *_ in before}
+            learned = [d for d in labels if zlib.crc32(str(d).encode()) % 4 != 2 and text.get(d) is not None]
+            order = {r.doc_id: (r.k, str(r.doc_id)) for r in spark.createDataFrame([(d,) for d in learned], "doc_id long").select("doc_id", F.xxhash64(F.col("doc_id"), F.lit(7)).alias("k")).collect()}
+            model = toxicity.fit([(text[d].encode(), labels[d]) for d in sorted(learned, key=order.get)], sum(labels[d] > 0 for d in labels if zlib.crc32(str(d).encode()) % 4 != 2) / sum(zlib.crc32(str(d).encode()) % 4 != 2 for d in labels))
+            want = [d for d, t, *_ in before if toxicity.score_texts([(t or "").encode()], model)[0] < 0.3]
         if name == "exact_dedup":
-            assert all(g[2] == 1 for g in exact_groups(pairs))
+            want = [d for d, keep, *_ in exact_groups([r[:2] for r in before]) if d == keep]
         if name == "jaccard_join":
-            assert all(d == c for d, _, c in near_components(pairs))
+            want = [d for d, _, c in near_components([r[:2] for r in before]) if d == c]
+        if name == "source_mixing":
+            want = plain_mixing(before)
+        assert got == sorted(want), name
+        assert set(rows) <= set(before)  # rows come through as they are
+        before = rows
+        counts.append(len(rows))
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0.5 * counts[0]
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert packed.select("doc_id").distinct().count() == counts[-1]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    bins, least = check_packing(packed, [r[:2] for r in before])
+    assert bins <= 1.02 * least + 2 and {r.doc_id for r in packed} == {r[0] for r in before}
+    whole = corpus_pipeline.run(spark, sf).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in whole) == sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed)
     assert "pipeline" in registry.queries()
 
 
