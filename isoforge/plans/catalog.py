@@ -324,18 +324,22 @@ def customer_xml(spark, sf_dir) -> DataFrame:
         feature("domain", ' evidence="E1"', span(at, at + 2)), feature("domain", "", span(F.lit(19), F.lit(25))), feature("active site", ' evidence="E2"', point(at)), feature("binding site", "", span(at, at + 1)),
         feature("metal ion-binding site", ' evidence="E9"', point(F.lit(2))), feature("mutagenesis site", ' evidence="E1 E2"', text("<original>A</original><variation>G</variation>", span(at + 3, at + 3))),
         feature("sequence variant", "", text("<original>A<i>B</i></original><variation>C</variation><variation>D<sup>2</sup></variation>", span(F.lit(1), F.lit(1)))),
-        some(k % 3 == 0, '<feature type="splice variant" id="VSP_', k, '">', span(F.lit(3), F.lit(4)), "</feature>"),
+        some(k % 3 == 0, '<feature type="splice variant" id="VSP_', k, '">', span(F.lit(3), F.lit(4)), "</feature>"), '<feature type="modified residue" description="Phosphoserine">', point(at), "</feature>",
         f'<evidence key="E1" type="ECO:0000269"/><evidence key="E2" type="ECO:0000250"/><sequence length="20">{CHAIN[:9]}\n {CHAIN[9:]}</sequence></entry>',
     )
     return read(spark, sf_dir, "customer").select(xml.alias("xml"))
 
 
-def customer_rows(spark, sf_dir) -> DataFrame:
-    """The table of customer_xml. The sidecar has both isoforms, but of every third customer with isoforms only the first."""
+def customer_sidecar(spark, sf_dir) -> DataFrame:
+    """Both isoforms of customers that have some, but of every third of them only the first."""
     own = read(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.concat(F.lit("C"), "c_custkey").alias("c"), (F.col("c_custkey") % 9 == 0).alias("few"))
     sequences = F.array(F.struct(F.concat("c", F.lit("-1")).alias("i"), F.lit(CHAIN).alias("s")), F.when(~F.col("few"), F.struct(F.concat("c", F.lit("-2")).alias("i"), F.lit(SHORT).alias("s"))))
-    side = own.select(F.explode(F.array_compact(sequences)).alias("x")).select(F.col("x.i").alias("fasta_id"), F.col("x.s").alias("fasta_sequence"))
-    return output_rows(isoform_rows(parse_entries(parse_xml(customer_xml(spark, sf_dir), "xml")), side))
+    return own.select(F.explode(F.array_compact(sequences)).alias("x")).select(F.col("x.i").alias("fasta_id"), F.col("x.s").alias("fasta_sequence"))
+
+
+def customer_rows(spark, sf_dir) -> DataFrame:
+    """The table of customer_xml."""
+    return output_rows(isoform_rows(parse_entries(parse_xml(customer_xml(spark, sf_dir), "xml")), customer_sidecar(spark, sf_dir)))
 
 
 def listed(column: str, *names: str) -> Column:
@@ -379,7 +383,9 @@ QUERIES = [
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in QUERIES}
+    from isoforge.plans import file_queries
+
+    return {f.__name__: f for f in [*QUERIES, *file_queries.QUERIES]}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -84,7 +84,11 @@ def oracle_sql() -> dict[str, str]:
         "table_spectrum": f"WITH {PARSED} SELECT {KIND} AS mod_type, count(*) AS total, count(*) AS experimental, 0::BIGINT AS non_experimental, 0::BIGINT AS unknown, 1.0::DOUBLE AS ratio FROM flat WHERE feature_type IN ('modified residue', 'glycosylation site') GROUP BY 1 HAVING count(*) >= 20",
         "xml_metadata": f"WITH {ENTRIES} SELECT id, 'C' || k AS parent_id, c_name AS entry_name, 'Beta' || (k % 7) || ' subunit & co' AS protein_name, CASE WHEN k % 4 > 0 THEN 'G' || (k % 11) END AS gene_name, 'Genus no ' || c_nationkey AS organism_name, CASE WHEN k % 6 > 0 THEN (c_nationkey + 9600)::INT END AS organism_id, CASE WHEN k % 6 < 5 THEN (k % 6 + 1)::INT END AS existence, 'PDB|P' || (k % 13) || (CASE WHEN k % 2 = 0 THEN ';AlphaFoldDB|A' || k ELSE '' END) AS structures FROM made",
         "xml_nested_text": f"WITH {ENTRIES} SELECT id, 'Beta' || (k % 7) || ' subunit & co' AS protein_name, 'Genus no ' || c_nationkey AS organism_name, CASE WHEN k % 8 > 0 THEN 'Outer membrane ' || (k % 3) || '|ECO:0000269;ECO:0000250;Cytosol|-' ELSE '' END AS location, CASE k % 4 WHEN 2 THEN '' ELSE 'Binds abc ' || (k % 9) || ' tightly.|' || (CASE k % 4 WHEN 1 THEN 'ECO:0000269|10' ELSE 'ECO:0000250|4' END) END AS subunits, 'AB|D2' AS natural_variants FROM made",
-        "xml_isoforms": f"WITH {ENTRIES} SELECT id, 'C' || k AS parent_id, seq AS sequence, CASE WHEN k % 3 = 0 THEN 'C' || k || '-1|-|first one;C' || k || '-2|-|-' ELSE '' END AS isoforms, (7 + (k % 3 = 0)::INT)::INT AS features FROM made",
+        "xml_isoforms": f"WITH {ENTRIES} SELECT id, 'C' || k AS parent_id, seq AS sequence, CASE WHEN k % 3 = 0 THEN 'C' || k || '-1|-|first one;C' || k || '-2|-|-' ELSE '' END AS isoforms, (8 + (k % 3 = 0)::INT)::INT AS features FROM made",
         "xml_routed_lists": f"WITH {ENTRIES}, p AS (SELECT id, k::VARCHAR AS k, (a + shift)::INT AS s FROM made) SELECT id, k || '|active site of it|' || s || '|' || s || '|ECO:0000250|4' AS active_sites, k || '|binding site of it|' || s || '|' || (s + 1) || '|-|1' AS binding_sites, '-|' || k || '|metal ion-binding site of it|2|2|-|1' AS metal_coordinations, k || '|mutagenesis site of it|' || (s + 3) || '|' || (s + 3) || '|ECO:0000269;ECO:0000250|10' AS mutagenesis_sites, 'domain of it|' || k || '|domain of it|' || s || '|' || (s + 2) || '|ECO:0000269|10' AS domains, 'AB|D2|' || k || '|sequence variant of it|1|1|-|1' AS natural_variants FROM p",
+        "etl_table": f"WITH {ENTRIES} SELECT id, 'C' || k AS parent_id, seq AS sequence, CASE WHEN k % 6 > 0 THEN (c_nationkey + 9600)::INT END AS organism_id, (8 + (k % 3 = 0)::INT)::INT AS features, (a + shift)::INT || '|' || (a + shift + 2)::INT AS domains, (a + shift)::INT AS site FROM made",
+        "etl_counters": f"WITH {ENTRIES}, n AS (SELECT count(*) AS made FROM made) SELECT made AS entries, (SELECT sum(8 + (k % 3 = 0)::INT) FROM entry)::BIGINT AS features, (SELECT count(*) * 2 FROM entry WHERE k % 3 = 0)::BIGINT AS isoforms, ceil(made / 1000.0)::BIGINT AS batches, made AS ptm_attempted, made AS ptm_mapped, 0::BIGINT AS ptm_failed FROM n",
+        "etl_directory": f"WITH {ENTRIES} SELECT id, CASE WHEN k % 4 > 0 THEN 'G' || (k % 11) END AS gene_name, CASE WHEN k % 2 = 0 THEN 'even' ELSE 'odd' END AS file FROM made",
+        "species_files": "SELECT * FROM (SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN 9606 WHEN 1 THEN 10090 WHEN 2 THEN 10116 END AS organism_id, CASE c_nationkey % 5 WHEN 0 THEN 'human' WHEN 1 THEN 'mouse' WHEN 2 THEN 'rat' END AS species FROM customer) WHERE species IS NOT NULL",
         "point_lookup": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (7, -1) LIMIT 1",
     }
