@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 import re
 import tempfile
@@ -13,7 +12,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
-from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,10 +43,6 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{tempfile.gettempdir()}/isoforge-{os.getuid()}"
 
 
-#: Folders that a run has written, by the application that wrote them.
-WRITTEN: dict[str, str] = {}
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet to the shared folder and read it back.
 
@@ -58,36 +52,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not WRITTEN:
-        atexit.register(discard_all)
-    WRITTEN[path] = spark.sparkContext.applicationId
+    fs, place = folder(spark, path)
+    fs.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    WRITTEN.pop(path, None)
+def folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def discard(written: DataFrame) -> None:
     """Delete what materialise wrote; nothing that is still to be computed may need it."""
-    delete(written.sparkSession, written._written)
-
-
-def discard_all() -> None:
-    """Delete all that this driver's application has written and not discarded, if its session is still there."""
-    try:
-        spark = SparkSession.getActiveSession()
-        if spark is None or spark.sparkContext._jsc is None:
-            return
-        for path in [p for p, app in WRITTEN.items() if app == spark.sparkContext.applicationId]:
-            delete(spark, path)
-    except (Py4JError, OSError):  # the JVM has ended before
-        return
+    fs, place = folder(written.sparkSession, written._written)
+    fs.delete(place, True)
 
 
 def partitions(spark: SparkSession) -> int:
