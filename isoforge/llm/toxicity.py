@@ -13,7 +13,8 @@ without one of them, on which its own counts and curve are calibrated, so no cur
 Learning takes at most TRAIN_DOCS rows of each label, those with the smallest hash of the id among rows that may be
 learned from, and TRAIN_BYTES of their texts: whole texts where they fit, otherwise the longest ones are held at the
 length with which all fit, in PIECES pieces spread evenly over the text, so no row is left out for its own or another
-row's length. An ordinary dictionary has 1 / ORDINARY_PART of the bytes it is trained on, MAX_DICT at most, and the
+row's length. They are learned from in one task, whose input these bounds hold at any size of the tables; only the model
+comes to the driver. An ordinary dictionary has 1 / ORDINARY_PART of the bytes it is trained on, MAX_DICT at most, and the
 toxic one 1 / TOXIC_PART of the ordinary one's size. These are the bounds, and every text is scored whole. The model
 (the dictionaries, 1.7 MB at most, and some fifty numbers) goes to the tasks with the function.
 
@@ -26,6 +27,7 @@ results, however they are dealt; a null id stays null; an empty table gives no r
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -246,9 +248,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         sizes[r["__y"]][r["__b"]] = r["count"]
     part = {y: max(PIECES, longest_part(own, train_bytes)) for y, own in sizes.items()}
     most = F.when(F.col("__y") == 1, part[1]).otherwise(part[0])
-    pieces = spread_pieces(F.col("__t"), F.col("__b"), most, PIECES).alias("__t")
-    got = [(r["__k"], str(r["__i"]), joined(r["__t"]), r["__y"]) for r in sized.select(F.xxhash64(F.col("__i"), F.lit(7)).alias("__k"), "__i", pieces, "__y").collect()]
-    return fit([(t, y) for _, _, t, y in sorted(got, key=lambda r: r[:3])], shares.get(1, 0) / max(1, sum(shares.values())))
+    pieces = spread_pieces(F.col("__t"), F.col("__b"), most, PIECES)
+    share = shares.get(1, 0) / max(1, sum(shares.values()))
+    rows = sized.select(F.xxhash64(F.col("__i"), F.lit(7)).alias("k"), F.col("__i").cast("string").alias("i"), pieces.alias("t"), F.col("__y").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(r["k"], r["i"], joined(r["t"]), r["y"]) for batch in batches for r in batch.to_pylist()]
+        model = fit([(t, y) for _, _, t, y in sorted(got, key=lambda r: r[:3])], share)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    found = rows.repartition(1).mapInArrow(run, "model binary").collect()  # one row, of the model's size
+    return pickle.loads(found[0][0]) if found else Model(())
 
 
 def score_texts(texts: list[bytes | None], model: Model) -> np.ndarray:

@@ -387,15 +387,14 @@ def test_op10_finds_planted_words():
 
 
 @pytest.mark.parametrize("long_label", [0, 1])
-def test_op10_learns_beside_very_long_texts(spark, monkeypatch, long_label):
+def test_op10_learns_beside_very_long_texts(spark, long_label):
     rng = random.Random(6)
     prose = lambda n: " ".join("".join(rng.choice("abcdeilnorstu") for _ in range(6)) for _ in range(n))
     docs = [(i, prose(60) + (" zorgwit kraxpolter " + prose(4)) * 3 * (i % 2)) for i in range(240)]
     labels = [(i, i % 2) for i in range(240)]
     docs += [(i, prose(20_000) + " zorgwit kraxpolter" * 200 * long_label) for i in range(240, 260)]
     labels += [(i, long_label) for i in range(240, 260)]
-    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 130_000)
-    model = toxicity.learn(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    model = toxicity.learn(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), train_bytes=130_000)
     s = toxicity.score_texts([t.encode() for _, t in docs[:240]], model)
     assert sum((p >= 0.3) == bool(y) for p, (_, y) in zip(s, labels, strict=False)) >= 0.9 * 240
 
