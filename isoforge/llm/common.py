@@ -43,15 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{tempfile.gettempdir()}/isoforge-{os.getuid()}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared folder and read it back.
+#: Rows of a file, where a bound on a table's rows is known.
+FILE_ROWS = 100_000
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Cut the lineage: write df as Parquet to the shared folder and read it back. rows: a bound on its rows, so that few aren't many files.
 
     Lost executors cost nothing that was written; only the columns a later step names are read again. The folder is
     deleted by discard, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(rows // FILE_ROWS + 1)).write.parquet(path)
     fs, place = folder(spark, path)
     fs.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)

@@ -76,9 +76,10 @@ def rake(cells: DataFrame, dims: dict[str, float], keep_fraction: float = KEEP_F
     df = base.withColumn("__m", keep_fraction * F.col("__t"))
     for d, temper in dims.items():
         df = df.join(targets_of(base, d, temper, (weights or {}).get(d), keep_fraction).select(d, F.col("target").alias(f"__g_{d}")), d)
+    rows = cells.count() if sweeps > PLANNED else 0
     for i in range(sweeps):
         if i and i % PLANNED == 0:
-            df = materialise(df, "sweeps")
+            df = materialise(df, "sweeps", rows)
         for d in dims:
             scaled = F.try_divide(F.col("__m") * F.col(f"__g_{d}"), F.sum("__m").over(Window.partitionBy(d)))
             df = df.withColumn("__m", F.least(F.col("__t"), F.coalesce(scaled, F.lit(0.0))))
@@ -102,7 +103,7 @@ def documents(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang
 def fit(rows: DataFrame, temper: dict[str, float], keep_fraction: float, sweeps: int, weights: dict[str, dict[str, float]] | None) -> DataFrame:
     """The cells of rows with their keep_probability, written."""
     cells = materialise(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
-    return materialise(rake(cells, {d: temper[d] for d in DIMS}, keep_fraction, sweeps, weights=weights), "raked")
+    return materialise(rake(cells, {d: temper[d] for d in DIMS}, keep_fraction, sweeps, weights=weights), "raked", cells.count())
 
 
 def calibrated(rows: DataFrame, fitted: DataFrame) -> DataFrame:

@@ -239,7 +239,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     shares = {r["__y"]: r["count"] for r in rows.groupBy("__y").count().collect()}
     first = [rows.where(F.col("__y") == y).orderBy(F.xxhash64("__i"), "__i").limit(train_docs) for y in (0, 1)]
     # at most twice train_docs rows
-    chosen = materialise(first[0].unionByName(first[1]), "chosen")
+    chosen = materialise(first[0].unionByName(first[1]), "chosen", 2 * train_docs)
     texts = docs.select(F.col(id_col).alias("__i"), F.col(text_col).cast("string").alias("__t")).where("__t is not null")
     texts = texts.join(F.broadcast(chosen), "__i").groupBy("__i", "__y").agg(F.min("__t").alias("__t"))
     sized = materialise(texts.withColumn("__b", F.octet_length("__t")), "learned")
